@@ -237,9 +237,7 @@ SELECT l_orderkey, l_partkey, l_linenumber::BIGINT AS l_linenumber, unnest(['dis
 def explode_items(t):
     amounts = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("amount")) for k, c in
                         (("discount", "l_discount"), ("price", "l_extendedprice"), ("tax", "l_tax"))])
-    message = F.to_json(F.struct(amounts.alias("items")))
-    items = documents.parse_json(message, "items array<struct<kind: string, amount: double>>")["items"]
-    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", items.alias("items"))
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", amounts.alias("items"))
     return documents.explode_items(rows, "items").select("l_orderkey", "l_partkey", "l_linenumber", "item.*")
 
 

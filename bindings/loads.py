@@ -89,7 +89,8 @@ def link_load(t):
                           _at("2024-01-01"), "orders")
 
     stored = links(rows.filter(F.col("l_shipdate") < split))
-    return merge.insert_ignore(stored, links(rows.filter(F.col("l_shipdate") >= split)), ["hk_order_product_pk"])
+    return merge.insert_ignore(stored, links(rows.filter(F.col("l_shipdate") >= split)), ["hk_order_product_pk"],
+                               unique=True)
 
 
 _SAT = """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from martloom.functions.keys import hash_key
 from martloom.functions.money import money
 from martloom.operators.nearest import city_rows, nearest
-from martloom.operators.skew import hot_keys, skew_join
+from martloom.operators.skew import hot_key_table, hot_keys, skew_join
 from martloom.functions.geo import CITIES
 from martloom.plans import conversion, counters, currency, geography, reports, sales
 from martloom.plans import ledger as courier
@@ -28,12 +28,9 @@ def _market(t):
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("craftsman_id"), F.to_date("l_shipdate").alias("_shipped"))
-    hot = {
-        "order_id": hot_keys(lines, "order_id"),
-        "product_id": hot_keys(lines, "product_id"),
-        "craftsman_id": hot_keys(lines, "craftsman_id"),
-        "customer_id": hot_keys(orders, "customer_id"),
-    }
+    # The customers of the lines are not known before the join; the orders stand in.
+    hot = hot_key_table(lines, ["order_id", "product_id", "craftsman_id"])
+    hot["customer_id"] = hot_keys(orders, "customer_id")
     # An order in delivery has no completion date yet.
     fact = skew_join(lines, orders, "order_id", "inner", hot["order_id"]).withColumn(
         "order_completion_date", F.when(F.col("order_status") != "delivery", F.col("_shipped"))).drop("_shipped")

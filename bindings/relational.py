@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from martloom.functions.keys import hash_key
-from martloom.functions.money import dec, money, ratio
+from martloom.functions.money import dec, money, ratio, sum_money
 from martloom.functions.text import part_of
 from martloom.operators import aggregates as agg
 from martloom.operators import filters, joins, windows
@@ -344,7 +344,7 @@ SELECT s_nationkey::BIGINT AS s_nationkey, s_name, revenue::DOUBLE AS revenue FR
   FROM (SELECT l_suppkey, sum({PRICE}) AS revenue FROM lineitem GROUP BY 1) JOIN supplier ON l_suppkey = s_suppkey)
 WHERE rn <= 3""")
 def top3_per_group(t):
-    revenue = t.lineitem.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.sum(money(F.col("l_extendedprice"))).alias("revenue"))
+    revenue = t.lineitem.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(sum_money(F.col("l_extendedprice")).alias("revenue"))
     rows = revenue.join(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), "s_suppkey").drop("s_suppkey")
     return windows.top_n(rows, ["s_nationkey"], [F.col("revenue").desc(), F.col("s_name")], 3)
 

@@ -52,15 +52,20 @@ def keyed_merge(
     return joined.select(*[F.col(c) if c in keys else pick(c) for c in target.columns])
 
 
-def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence | None = None) -> DataFrame:
+def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence | None = None,
+                  unique: bool = False) -> DataFrame:
     """Target plus the source rows whose key is new; one row per key, the first in
     `order`."""
-    return target.unionByName(new_rows(target, source, keys, order).select(*target.columns))
+    return target.unionByName(new_rows(target, source, keys, order, unique).select(*target.columns))
 
 
-def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence | None = None) -> DataFrame:
-    """Source rows whose key the target lacks, one per key."""
+def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence | None = None,
+             unique: bool = False) -> DataFrame:
+    """Source rows whose key the target lacks, one per key.  `unique` says that the
+    source has one row per key by construction (a grouped or distinct frame)."""
     keys = list(keys)
+    if unique:
+        return source.join(target.select(*keys), keys, "left_anti")
     rest = [c for c in source.columns if c not in keys]
     # De-duplicate first: repeats go before the shuffle, and the anti join then
     # finds the rows already partitioned by the key.

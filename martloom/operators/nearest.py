@@ -13,6 +13,8 @@ from .windows import top_n
 
 # A reference of up to this many points is written into the expression itself.
 MAX_INLINE = 256
+# Larger than any squared distance on the unit sphere (at most 4).
+_OUTSIDE = 9.0
 REF_COLUMNS = ("zone_id", "lat", "lng", "timezone")
 
 
@@ -60,20 +62,22 @@ def _with_vector(df: DataFrame, lat: str, lon: str, prefix: str) -> DataFrame:
 
 
 def _nearest_inline(df: DataFrame, rows: Sequence[tuple], lat: str, lon: str, box_deg: float | None) -> DataFrame:
-    candidates = []
+    # One SQL text instead of some hundred Column calls; Spark compiles it to plain
+    # arithmetic on the row.
+    entries = []
     for i, (_, rlat, rlng, _) in enumerate(rows):
         phi, lam = math.radians(rlat), math.radians(rlng)
-        d2 = _chord2(
-            F.col("_x"), F.col("_y"), F.col("_z"),
-            math.cos(phi) * math.cos(lam), math.cos(phi) * math.sin(lam), math.sin(phi),
-        )
-        entry = F.struct(d2.alias("d2"), F.lit(i).alias("i"))
+        bx, by, bz = math.cos(phi) * math.cos(lam), math.cos(phi) * math.sin(lam), math.sin(phi)
+        d2 = " + ".join(f"(_{c} - {v!r}D) * (_{c} - {v!r}D)" for c, v in (("x", bx), ("y", by), ("z", bz)))
         if box_deg is not None:
-            entry = F.when(within_box(F.col(lat), F.col(lon), F.lit(rlat), F.lit(rlng), box_deg), entry)
-        candidates.append(entry)
-    best = _with_vector(df, lat, lon, "_").withColumn("_best", F.array_min(F.array(*candidates)))
+            inside = f"abs(_lat - {rlat!r}D) < {box_deg!r}D AND abs(_lon - {rlng!r}D) < {box_deg!r}D"
+            d2 = f"IF({inside}, {d2}, {_OUTSIDE!r}D)"
+        entries.append(f"named_struct('d2', {d2}, 'i', {i})")
+    best = _with_vector(df.withColumns({"_lat": F.col(lat), "_lon": F.col(lon)}), lat, lon, "_").withColumn(
+        "_best", F.expr(f"array_min(array({', '.join(entries)}))")
+    )
     if box_deg is not None:
-        best = best.filter(F.col("_best").isNotNull())
+        best = best.filter(F.col("_best")["d2"] < _OUTSIDE)
     names = F.array(*[F.lit(r[0]) for r in rows])
     zones = F.array(*[F.lit(r[3]) for r in rows])
     at = F.col("_best")["i"] + 1
@@ -81,7 +85,7 @@ def _nearest_inline(df: DataFrame, rows: Sequence[tuple], lat: str, lon: str, bo
         "zone_id": F.element_at(names, at),
         "timezone": F.element_at(zones, at),
         "distance_km": chord_to_km(F.col("_best")["d2"]),
-    }).drop("_x", "_y", "_z", "_best")
+    }).drop("_x", "_y", "_z", "_lat", "_lon", "_best")
 
 
 def _pick_closest(joined: DataFrame, df: DataFrame, row_id: str) -> DataFrame:

@@ -4,23 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.02, tracked: int = 10_000) -> list:
-    """Keys that hold more than `share` of the rows: at most 1/share values.
+def hot_key_table(df: DataFrame, keys: Sequence[str], share: float = 0.02, tracked: int = 2_000) -> dict[str, list]:
+    """For each column the values that hold more than `share` of the rows: at most
+    1/share of them.
 
-    One pass over one column with a mergeable sketch, no shuffle of rows.  The
+    One pass over these columns with mergeable sketches, no shuffle of rows.  The
     answer only steers how work is split, so an estimate is enough.  This is an
     action; its result is a plain list, so that both sides of a join use the
     same one also when tasks are retried.
     """
-    row = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {int(1 / share)}, {tracked})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    return [r["item"] for r in row["top"] if r["item"] is not None and r["count"] > share * row["n"]]
+    tops = [F.expr(f"approx_top_k(`{k}`, {int(1 / share)}, {tracked})").alias(k) for k in keys]
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *tops).first()
+    return {
+        k: [r["item"] for r in row[k] if r["item"] is not None and r["count"] > share * row["_n"]] for k in keys
+    }
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 0.02) -> list:
+    """Values of one column that hold more than `share` of the rows."""
+    return hot_key_table(df, [key], share)[key]
 
 
 def skew_join(

@@ -18,7 +18,7 @@ def activity_links(group_log: DataFrame, users: DataFrame, groups: DataFrame, li
     known = group_log.join(users.select("user_id"), "user_id").join(groups.select("group_id"), "group_id")
     rows = vault.link(known, "hk_l_user_group_activity", {"hk_user_id": "user_id", "hk_group_id": "group_id"},
                       load_dt, load_src)
-    return rows if links is None else new_rows(links, rows, ["hk_l_user_group_activity"])
+    return rows if links is None else new_rows(links, rows, ["hk_l_user_group_activity"], unique=True)
 
 
 def auth_history(group_log: DataFrame, links: DataFrame, history: DataFrame | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import on_day
+from ..functions.money import sum_money
 from ..operators.merge import unique_on
 
 # Status that counts, smallest account number that is not a test.
@@ -28,7 +29,7 @@ def daily_metrics(transactions: DataFrame, currencies: DataFrame, target_currenc
         F.to_date("transaction_dt").alias("date_update"),
         F.col("currency_code").alias("currency_from"),
         "account_number_from",
-    ).agg(F.sum(F.col("amount").cast("decimal(18,2)")).alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    ).agg(sum_money(F.col("amount")).alias("_sum"), F.count(F.lit(1)).alias("_n"))
     daily = accounts.groupBy("date_update", "currency_from").agg(
         F.sum("_sum").cast("decimal(24,2)").alias("_sum"),
         F.sum("_n").alias("cnt_transactions"),

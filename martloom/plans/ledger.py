@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.documents import json_get
-from ..functions.money import PAYOUT_TIERS, PAYOUT_TOP, PROCESSING_FEE, TIPS_SHARE, dec, mean_of, tiered
+from ..functions.money import PAYOUT_TIERS, PAYOUT_TOP, PROCESSING_FEE, TIPS_SHARE, dec, mean_of, sum_money, tiered
 from ..operators.aggregates import dedup_first
-from ..operators.joins import sum_then_join
 from ..operators.merge import keyed_merge, new_rows
 
 LEDGER_KEY = ["courier_id", "settlement_year", "settlement_month"]
@@ -49,7 +48,8 @@ def ledger(deliveries: DataFrame, couriers: DataFrame, product_sales: DataFrame,
     The payout floor applies to the month's total, or to each order when
     per_order_floor is set.
     """
-    rows = sum_then_join(deliveries, product_sales, "order_id", "total_sum", "_total")
+    totals = product_sales.groupBy("order_id").agg(sum_money(F.col("total_sum")).alias("_total"))
+    rows = deliveries.join(totals, "order_id", "left").withColumn("_total", F.coalesce("_total", dec("0.00")))
     total = F.col("_total").cast("decimal(18,2)")
 
     def floored(share: str, floor: str) -> Column:
@@ -64,9 +64,9 @@ def ledger(deliveries: DataFrame, couriers: DataFrame, product_sales: DataFrame,
         )
         .agg(
             F.count_distinct("order_id").alias("orders_count"),
-            F.sum(total).cast("decimal(24,2)").alias("orders_total_sum"),
+            sum_money(F.col("_total")).alias("orders_total_sum"),
             mean_of(F.sum("rate"), F.count("rate")).cast("decimal(3,2)").alias("rate_avg"),
-            F.sum("tip_sum").cast("decimal(24,2)").alias("courier_tips_sum"),
+            sum_money(F.col("tip_sum")).alias("courier_tips_sum"),
             *[floored(*t).alias(f"_pay{i}") for i, t in enumerate(tiers) if per_order_floor],
         )
     )

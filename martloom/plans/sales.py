@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_to_int, int_to_date, iso_week, on_day, trailing_days
-from ..functions.money import signed_amount
-from ..operators.aggregates import count_distinct_if, sum_if
+from ..functions.money import signed_amount, sum_money
+from ..operators.aggregates import sum_if
 from ..operators.merge import insert_ignore, new_rows
 
 
@@ -64,21 +64,31 @@ def retention(sales: DataFrame, last_day: str | None = None, days: int = 7) -> D
     per_customer = (
         rows.withColumn("period_start", F.trunc("_date", "week"))
         .groupBy("period_start", "item_id", "customer_id", "status")
-        .agg(F.sum("payment_amount").alias("_revenue"), F.count(F.lit(1)).alias("_orders"))
+        .agg(sum_money(F.col("payment_amount")).alias("_revenue"), F.count(F.lit(1)).alias("_orders"))
     )
     refunded = F.col("status") == "refunded"
-    new = ~refunded & (F.col("_orders") == 1)
-    returning = ~refunded & (F.col("_orders") > 1)
-    zero = F.lit(0).cast(per_customer.schema["_revenue"].dataType)
+    kinds = {
+        "new": ~refunded & (F.col("_orders") == 1),
+        "returning": ~refunded & (F.col("_orders") > 1),
+        "refunded": refunded,
+    }
+    # A customer counts once per kind, whatever the number of statuses.  One more
+    # fold per customer replaces three distinct counts, which would triple the rows.
+    zero = F.lit(0).cast("decimal(24,2)")
+    customers = per_customer.groupBy("period_start", "item_id", "customer_id").agg(
+        *[F.max(pred.cast("int")).alias(f"_is_{k}") for k, pred in kinds.items()],
+        *[sum_if(pred, F.col("_revenue"), zero).cast("decimal(24,2)").alias(f"_{k}") for k, pred in kinds.items()],
+    )
+    known = F.col("customer_id").isNotNull()
     return (
-        per_customer.groupBy("period_start", "item_id")
+        customers.groupBy("period_start", "item_id")
         .agg(
-            count_distinct_if(new, F.col("customer_id")).alias("new_customers_count"),
-            count_distinct_if(returning, F.col("customer_id")).alias("returning_customers_count"),
-            count_distinct_if(refunded, F.col("customer_id")).alias("refunded_customer_count"),
-            sum_if(new, F.col("_revenue"), zero).alias("new_customers_revenue"),
-            sum_if(returning, F.col("_revenue"), zero).alias("returning_customers_revenue"),
-            sum_if(refunded, F.col("_revenue"), zero).alias("customers_refunded"),
+            sum_if(known, F.col("_is_new")).alias("new_customers_count"),
+            sum_if(known, F.col("_is_returning")).alias("returning_customers_count"),
+            sum_if(known, F.col("_is_refunded")).alias("refunded_customer_count"),
+            F.sum("_new").alias("new_customers_revenue"),
+            F.sum("_returning").alias("returning_customers_revenue"),
+            F.sum("_refunded").alias("customers_refunded"),
         )
         .withColumn("period_id", iso_week(F.col("period_start")))
         .withColumn("period_name", F.lit("weekly"))
