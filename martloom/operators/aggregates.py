@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .windows import top_n
@@ -33,13 +33,27 @@ def count_distinct_if(pred: Column, col: Column) -> Column:
 
 
 def median_by(df: DataFrame, keys: Sequence[str], value: str, output: str = "median") -> DataFrame:
-    """Exact continuous median per key, NULLs ignored.
+    """Exact continuous median per key, NULLs ignored."""
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    return median_of_counts(counted, keys, value, "_n", output)
+
 
-    Equal values are counted first, so a group is shipped as (value, count) pairs.
-    Meant for bounded domains such as whole days.
+def median_of_counts(counted: DataFrame, keys: Sequence[str], value: str, weight: str, output: str,
+                     *others: Column) -> DataFrame:
+    """Median of values given as (value, weight) rows, with other aggregates beside it.
+
+    Equal values are already folded, so a window holds one row per distinct value of
+    a group (whole days: a few thousand) and the sort is over those rows only.
     """
-    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.groupBy(*keys).agg(F.percentile(value, 0.5, F.col("_n")).alias(output))
+    whole = Window.partitionBy(*keys)
+    present = F.when(F.col(value).isNotNull(), F.col(weight))
+    marked = counted.withColumns({
+        "_upto": F.sum(present).over(whole.orderBy(value)),
+        "_all": F.sum(present).over(whole),
+    })
+    low = F.min(F.when(F.col("_upto") * 2 >= F.col("_all"), F.col(value)))
+    high = F.min(F.when(F.col("_upto") * 2 > F.col("_all"), F.col(value)))
+    return marked.groupBy(*keys).agg(((low + high) / 2).cast("double").alias(output), *others)
 
 
 def string_agg_distinct(df: DataFrame, keys: Sequence[str], col: str, output: str, sep: str = ", ") -> DataFrame:

@@ -91,14 +91,15 @@ def update_where(df: DataFrame, pred: Column, changes: Mapping[str, Column]) ->
 
 
 def require_known(df: DataFrame, known: DataFrame, key: str, what: str = "key") -> DataFrame:
-    """The same rows; the job fails on a key that `known` lacks."""
-    seen = known.select(key).distinct().withColumn("_seen", F.lit(True))
-    complaint = F.raise_error(F.concat(F.lit(f"{what} not found: "), F.col(key).cast("string")))
-    return (
-        df.join(seen, key, "left")
-        .filter(F.when(F.col("_seen").isNull(), complaint.cast("boolean")).otherwise(F.lit(True)))
-        .select(*df.columns)
-    )
+    """The same rows, after a check that `known` has every key.
+
+    The check is an action, so it comes before any write and cannot be optimised
+    away; one missing key reaches the driver for the message.
+    """
+    missing = df.select(key).join(known.select(key), key, "left_anti").take(1)
+    if missing:
+        raise ValueError(f"{what} not found: {missing[0][0]}")
+    return df
 
 
 def delete_by_key(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -144,10 +144,12 @@ def _nearest_by_cells(df: DataFrame, ref: DataFrame, row_id: str, lat: str, lon:
 
     points = (
         _with_vector(df, lat, lon, "_")
-        .withColumn("_far", F.transform(cells, lambda c: F.struct(to_centre(c).alias("d"), c.alias("cell"))))
+        .withColumn("_cells", cells)
+        .withColumn("_far", F.transform("_cells", lambda c: F.named_struct(F.lit("d"), to_centre(c), F.lit("cell"), c)))
         .withColumn("_bound", F.array_min("_far")["d"] + diagonal)
-        .withColumn("_cell", F.explode(F.filter("_far", lambda e: e["d"] <= F.col("_bound")))["cell"])
-        .drop("_far", "_bound")
+        .withColumn("_hit", F.explode(F.filter("_far", lambda e: e["d"] <= F.col("_bound"))))
+        .withColumn("_cell", F.col("_hit")["cell"])
+        .drop("_cells", "_far", "_bound", "_hit")
     )
     joined = points.join(points_ref, "_cell").withColumn(
         "_d2", _chord2(*[F.col(c) for c in ("_x", "_y", "_z", "_rx", "_ry", "_rz")])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import age_years, days_between, period, trunc_to
 from ..functions.money import mean_of, money, platform_split, sum_money
-from ..operators.aggregates import sum_if
+from ..operators.aggregates import median_of_counts, sum_if
 from ..operators.filters import changed_since
 from ..operators.joins import affected
 from ..operators.progress import advance, newest
@@ -29,6 +29,9 @@ def _report(fact: DataFrame, owners: DataFrame, partners: DataFrame, products: D
             hot: Mapping[str, Sequence] | None) -> DataFrame:
     hot = hot or {}
     owner_id, partner_id = f"{owner}_id", f"{partner}_id"
+    # Lines without one of the three ids match no dimension; saying so once keeps the
+    # scans of all branches alike.
+    fact = fact.dropna(subset=[owner_id, partner_id, "product_id"])
     ages = partners.select(partner_id, age_years(F.col(f"{partner}_birthday"), as_of).alias("_age"))
     prices = products.select("product_id", money(F.col("product_price")).alias("_price"))
 
@@ -44,8 +47,7 @@ def _report(fact: DataFrame, owners: DataFrame, partners: DataFrame, products: D
     kept, platform = platform_split(total)
     statuses = {f"count_order_{s.replace(' ', '_')}": status == s for s in STATUSES}
     statuses["count_order_not_done"] = status != "done"
-    # Folded per day count first, in compiled code: the median then reads (days,
-    # lines) pairs, at most one per distinct day count of a group.
+    # Folded per day count first: everything after works on those rows.
     by_days = lines.groupBy(owner_id, "_month", "_days").agg(
         sum_money(F.col("_price")).alias("_sum"),
         F.count("order_id").alias("count_order"),
@@ -54,10 +56,9 @@ def _report(fact: DataFrame, owners: DataFrame, partners: DataFrame, products: D
         *[sum_if(pred, F.lit(1)).alias(name) for name, pred in statuses.items()],
     )
     monthly = (
-        by_days.groupBy(owner_id, "_month")
-        .agg(
+        median_of_counts(
+            by_days, [owner_id, "_month"], "_days", "count_order", "median_time_order_completed",
             F.sum("_sum").cast("decimal(24,2)").alias("_sum"),
-            F.percentile("_days", 0.5, F.col("count_order")).alias("median_time_order_completed"),
             *[F.sum(c).alias(c) for c in ("count_order", "_ages", "_aged", *statuses)],
         )
         .withColumns({
@@ -70,11 +71,11 @@ def _report(fact: DataFrame, owners: DataFrame, partners: DataFrame, products: D
         .drop("_sum", "_ages", "_aged", "_month")
     )
 
-    # Both tops start from the same grouped counts, whose shuffle Spark reuses.
+    # Both tops start from the same joined counts, whose shuffle Spark reuses.
     bought = fact.groupBy(owner_id, "product_id", partner_id).agg(F.count("order_id").alias("_n"))
     types = products.select("product_id", F.col("product_type").alias("top_product_category"))
-    by_type = skew_join(bought, types, "product_id", "inner", hot.get("product_id", ()))
-    by_type = by_type.groupBy(owner_id, "top_product_category").agg(F.sum("_n").alias("_n"))
+    bought = skew_join(bought, types, "product_id", "inner", hot.get("product_id", ()))
+    by_type = bought.groupBy(owner_id, "top_product_category").agg(F.sum("_n").alias("_n"))
     tops = top_n(by_type, [owner_id], [F.col("_n").desc(), F.col("top_product_category")], 1).drop("_n")
     if with_partner:
         name = f"top_{partner}_id"
