@@ -128,8 +128,8 @@ def test_jdbc_in_process(spark, tmp_path):
     url, opts = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": DERBY}
     df = frame(spark, "id int, status string, at timestamp", (1, "done", dt.datetime(2024, 1, 1, 23)),
                (2, "queued", dt.datetime(2024, 1, 1, 5)), (3, "done", dt.datetime(2024, 1, 2)))
-    jdbc.write_jdbc(df, url, "tx", **opts)
-    jdbc.write_jdbc(df.filter("id = 3").withColumn("status", F.lit(None).cast("string")), url, "tx", **opts)
+    jdbc.write_jdbc(df, url, "tx", createTableColumnTypes="status VARCHAR(20)", **opts)
+    jdbc.write_jdbc(df.filter("id = 3").withColumn("id", F.lit(None).cast("int")), url, "tx", **opts)
     assert jdbc.read_jdbc(spark, url, "tx", **opts).count() == 4
     day = jdbc.read_jdbc_slice(spark, url, "tx", "at", "2024-01-01", F.col("status") == "done", **opts)
     assert rows(day, "ID") == [(1,)]
