@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions.geo import CITIES
-from martloom.session import tune
+from martloom.session import folder_bytes, size_shuffles, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,7 +51,8 @@ def query(sql: str | None = None, name: str | None = None):
         key = name or fn.__name__
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return plain(fn(Tables(tune(spark), folder)))
+            size_shuffles(tune(spark), folder_bytes(spark, folder))
+            return plain(fn(Tables(spark, folder)))
 
         QUERIES[key] = run
         if sql is not None:

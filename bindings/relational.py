@@ -34,7 +34,7 @@ def join_inner_star(t):
     kept = skew_join(lines, orders, "l_orderkey", "left_semi", hot_keys(t.lineitem, "l_orderkey"))
     # Folded to one row per (part, supplier) before the dimensions are attached, so a
     # part or supplier with very many lines reaches the joins already summed up.
-    folded = kept.groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.sum("net").alias("net"))
+    folded = kept.groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"), sum_money(F.col("net"), 4).alias("net"))
     return (
         folded.join(parts, "l_partkey").join(suppliers, "l_suppkey")
         .groupBy("p_type", "s_nationkey")
@@ -55,7 +55,7 @@ SELECT p_partkey, word, n FROM part JOIN (
 def join_derived_key(t):
     word = part_of(F.col("p_name"), " ", 1).alias("word")
     sizes = t.part.groupBy(word).agg(F.count(F.lit(1)).alias("n"))
-    return t.part.select("p_partkey", word).join(sizes, "word").select("p_partkey", "word", "n")
+    return skew_join(t.part.select("p_partkey", word), sizes, "word").select("p_partkey", "word", "n")
 
 
 @query("""
@@ -170,9 +170,9 @@ def agg_basic(t):
     price, disc = money(F.col("l_extendedprice")), F.col("l_discount").cast("decimal(4,2)")
     n = F.count(F.lit(1))
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
-        F.sum(money(F.col("l_quantity"))).alias("sum_qty"), F.sum(price).alias("sum_price"),
-        F.sum(price * (1 - disc)).alias("sum_net"), F.min("l_quantity").alias("min_qty"),
-        F.max("l_quantity").alias("max_qty"), ratio(F.sum(price), n).alias("avg_price"), n.alias("n"))
+        sum_money(F.col("l_quantity")).alias("sum_qty"), sum_money(F.col("l_extendedprice")).alias("sum_price"),
+        sum_money(price * (1 - disc), 4).alias("sum_net"), F.min("l_quantity").alias("min_qty"),
+        F.max("l_quantity").alias("max_qty"), ratio(sum_money(F.col("l_extendedprice")), n).alias("avg_price"), n.alias("n"))
 
 
 def _car_sales(t):

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, shuffle_partitions
 from .skew import previous_value
 
 
@@ -97,7 +97,7 @@ def number_rows(df: DataFrame, order: Sequence[str], start: int = 1, output: str
     Rows are range-partitioned and the layout is fixed by a checkpoint; each
     partition numbers its own rows and adds the count of the partitions before.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or shuffle_partitions(df.sparkSession)
     spread = checkpointed(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
     sizes = spread.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: the only window without a partition key.
