@@ -73,7 +73,7 @@ class Gains:
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
         ordinary, toxic = self.compressors
-        for word in set(words) - self.known.keys():
+        for word in {w for w in words if w not in self.known}:
             window = b" " + word.encode() + b" " + TAIL
             self.known[word] = len(ordinary.compress(window)) - len(toxic.compress(window))
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
@@ -126,10 +126,14 @@ def fit(
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
+            out: list[tuple[str, str, int]] = []
             for text, toxic in zip(rows["text"], rows["toxic"]):
                 words = words_of(text)
-                pairs = set(zip(words, ["", *words])) if toxic else {(w, "") for w in set(words)}
-                yield pd.DataFrame(list(pairs), columns=["word", "prior"]).assign(toxic=int(toxic))
+                out += [(w, p, toxic) for w, p in (set(zip(words, ["", *words])) if toxic else {(w, "") for w in words})]
+                if len(out) > 100_000:
+                    yield pd.DataFrame(out, columns=["word", "prior", "toxic"])
+                    out = []
+            yield pd.DataFrame(out, columns=["word", "prior", "toxic"])
 
     seen = _labelled(docs, chosen).mapInPandas(contexts, "word string, prior string, toxic int")
     counts = stored(seen.groupBy("word", "prior", "toxic").count().groupBy("word").agg(
