@@ -63,6 +63,11 @@ def _write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> Dat
         write, "part long, file string, type string, n_docs long, n_ids long")
 
 
+def _apart(parts: DataFrame) -> DataFrame:
+    """A task for each part: its row is small, its files are not."""
+    return parts.repartition(max(1, parts.count()))
+
+
 def _write_offsets(parts: DataFrame) -> DataFrame:
     """The offsets file of each part: sizes added up from the part's base."""
 
@@ -83,7 +88,7 @@ def _write_offsets(parts: DataFrame) -> DataFrame:
             yield rows.assign(offsets=names)
 
     schema = ", ".join(f"{n} {t}" for n, t in parts.dtypes)
-    return parts.repartition("part").mapInPandas(write, f"{schema}, offsets string")
+    return _apart(parts).mapInPandas(write, f"{schema}, offsets string")
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
@@ -124,4 +129,4 @@ def read_token_files(parts: DataFrame) -> DataFrame:
                     yield pd.DataFrame({
                         "doc_id": name.mask(name == NO_ID), "start": starts, "n_tokens": ends - starts, "ids_crc32": np.array(crc, np.int64)})
 
-    return parts.repartition("part").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _apart(parts).mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")

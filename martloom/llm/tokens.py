@@ -36,33 +36,45 @@ class Pieces:
     Only speed depends on it; it starts anew beyond `most` pieces, so memory is bounded.
     """
 
-    def __init__(self, tokenizer: Tokenizer, most: int = 1_500_000):
+    def __init__(self, tokenizer: Tokenizer, most: int = 1_000_000):
         self.tokenizer, self.most = tokenizer, most
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.n_bytes[i] = len(token)  # a byte-level token has a character for each byte
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint16 if width(self.tokenizer) == "<u2" else np.uint32)
-        self.ends = np.zeros(1 << 14, np.int64)  # ends[i] is where piece i starts
+        self.flat = np.zeros(0, np.uint16 if width(self.tokenizer) == "<u2" else np.uint32)
+        self.ends = np.zeros(1, np.int64)
+
+    def _add(self, pieces: list[str], lines: list[str], sizes: np.ndarray | None) -> None:
+        """Encode lines; sizes are the bytes of the pieces that stand in them, None if each line is a piece."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        ids = np.fromiter((i for x in found for i in x), self.flat.dtype, sum(map(len, found)))
+        if sizes is None:
+            ends = np.cumsum([len(x) for x in found])
+        else:
+            ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum(sizes)) + 1
+        self.place.update(zip(pieces, range(len(self.place), len(self.place) + len(pieces))))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
+        self.flat = np.concatenate([self.flat, ids])
 
     def places(self, pieces: list[str]) -> np.ndarray:
         """The place of each piece; flat[ends[i]:ends[i + 1]] are its ids."""
         if len(self.place) > self.most:
             self.clear()
-        new = [p for p in pieces if p not in self.place]
-        for at in range(0, len(new), 1 << 14):
-            for piece, found in zip(
-                    new[at : at + (1 << 14)],
-                    self.tokenizer.encode_batch_fast(new[at : at + (1 << 14)], add_special_tokens=False)):
-                ids, k = found.ids, len(self.place)
-                start = self.ends[k]
-                while start + len(ids) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-                if k + 2 > len(self.ends):
-                    self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-                self.flat[start : start + len(ids)] = ids
-                self.ends[k + 1] = start + len(ids)
-                self.place[piece] = k
+        joined, alone = [], []
+        for piece in pieces:
+            if piece not in self.place:
+                # Pieces from a space to a letter can stand in one line, as words do.
+                (joined if piece[:1] == " " and len(piece) > 1 and not piece[-1].isspace() else alone).append(piece)
+        if alone:
+            self._add(alone, alone, None)
+        if joined:
+            sizes = np.fromiter((len(p) if p.isascii() else len(p.encode()) for p in joined), np.int64, len(joined))
+            self._add(joined, ["".join(joined[i : i + 500]) for i in range(0, len(joined), 500)], sizes)
         return np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
 
 
