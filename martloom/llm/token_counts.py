@@ -16,6 +16,7 @@ from martloom.llm.tokens import encode, new_file, pieces_of, width
 
 END_ID = 50256  # <|endoftext|> of the byte-level vocabulary; no text encodes to it
 BLOCK_IDS = 1 << 20
+BLOCKS_PER_TASK = 8
 BATCH_ROWS = 2000
 
 
@@ -71,7 +72,8 @@ def count_tokens(files: DataFrame, end_id: int = END_ID, block_ids: int = BLOCK_
         (F.row_number().over(over_files) - 1).cast("long").alias("file_no"), "file", "type", "n_ids",
         F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("file_start")), "ordered-files")
     blocks = files.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(
-        f"(n_ids - 1) div {block_ids}"))).alias("block")).repartition("file_no", "block")
+        f"(n_ids - 1) div {block_ids}"))).alias("block"))
+    blocks = blocks.repartition(-(-blocks.count() // BLOCKS_PER_TASK) or 1)  # rows are small, blocks are not
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
