@@ -102,9 +102,10 @@ def count_tokens(files: DataFrame, end_id: int = END_ID, block_ids: int = BLOCK_
         "start", F.when(F.col("i") == 0, F.col("last")).otherwise(F.expr("element_at(ends, greatest(i, 1))")) + 1
     ).select((F.col("doc_base") + F.col("i")).alias("doc_no"), "file_no", "start",
              (F.col("end") - F.col("start")).alias("n_tokens"), F.lit(True).alias("closed"))
-    total = files.agg(F.sum("n_ids").alias("ids"), F.max("file_no").alias("file_no"))
-    rest = sums.agg(F.sum("n").alias("doc_no"), F.coalesce(F.max("last"), F.lit(-1).cast("long")).alias("last")).join(
-        total, F.col("ids") > F.col("last") + 1).select(  # one row each
-        "doc_no", "file_no", (F.col("last") + 1).alias("start"), (F.col("ids") - F.col("last") - 1).alias("n_tokens"),
-        F.lit(False).alias("closed"))
-    return closed.unionByName(rest)
+    n_ids, n_files = files.agg(F.sum("n_ids"), F.count(F.lit(1))).first()
+    n_docs, last = sums.agg(F.sum("n"), F.max("last")).first()
+    last = -1 if last is None else last
+    if not n_ids or last == n_ids - 1:
+        return closed
+    rest = [(n_docs, n_files - 1, last + 1, n_ids - last - 1, False)]  # ids after the last separator
+    return closed.unionByName(files.sparkSession.createDataFrame(rest, closed.schema))
