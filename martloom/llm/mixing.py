@@ -90,7 +90,7 @@ def schedule(
     starts.  Blocks are scheduled by `pfair_period`.  The mix ends when every block of
     every source has run once: no document is left out, and smaller sources start anew
     (epoch) until then; `weights` that need more than `max_epochs` are refused.
-    Without weights, a source weighs as its characters to the power `temperature`.
+    Without weights, a source weighs as its blocks to the power `temperature`.
     Null and empty sources are one source; null texts are empty.
 
     Documents are dealt by ranges of (source, doc_id, text hash), which splits a hot
@@ -116,8 +116,9 @@ def schedule(
             "struct<source:string,epoch:long,block:long,release:long,deadline:long,slot:long,at:long>").alias("mix"))
     if len(sizes) > MOST_PERIOD:
         raise ValueError(f"more than {MOST_PERIOD} sources")
+    blocks = {s: -(-n // block_chars) for s, n in sizes.items()}
     if weights is None:
-        weights = {s: n**temperature for s, n in sizes.items()}
+        weights = {s: n**temperature for s, n in blocks.items()}
     elif missing := sorted(set(sizes) - set(weights)):
         raise ValueError(f"no weight for {missing[:5]}")
     weights = {s: weights[s] for s in sizes}
@@ -125,7 +126,6 @@ def schedule(
     period = sum(shares.values())
     plan = pfair_period(shares)
     slots = {(s, k): slot for s, k, _, _, slot in plan}
-    blocks = {s: -(-n // block_chars) for s, n in sizes.items()}
     last = {s: divmod(b - 1, shares[s]) for s, b in blocks.items()}
     end = 1 + max(turn * period + slots[s, k] for s, (turn, k) in last.items())
     epochs = {s: -(-(-(-end * shares[s] // period) + 1) // blocks[s]) for s in blocks}
