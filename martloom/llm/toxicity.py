@@ -21,6 +21,7 @@ CALIBRATION_DOCS = 4_000  # labelled documents to calibrate on, at most
 TOXIC_WORDS, ORDINARY_WORDS = 5_000, 30_000  # words that go into the dictionaries, at most
 TOXIC_BYTES, ORDINARY_BYTES = 4_096, 32_768
 LEAST_CONTEXTS = 4
+STEMS, LEAST_STEM_CONTEXTS = (4, 5, 6), 8  # first letters that count as a form of their own
 LEAST_RATIO = 8.0
 KNOWN_WORDS = 500_000  # gains a Python worker remembers; only speed depends on it
 # Behind every window: zstandard starts no match in the last bytes of its input, and
@@ -47,8 +48,9 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
 
 
 def _samples(words: dict[str, int], repeats: int = 50) -> list[bytes]:
-    """Samples of eight words each; a word is there as often as it was counted, in a fixed order."""
-    bag = [f" {w} ".encode() for w, n in words.items() for _ in range(min(n, repeats))]
+    """Samples of eight words each; a word is there as often as it was counted, in a
+    fixed order.  Stems, which end with a hyphen, stand without an end."""
+    bag = [(f" {w[:-1]}" if w[-1] == "-" else f" {w} ").encode() for w, n in words.items() for _ in range(min(n, repeats))]
     np.random.default_rng(0).shuffle(bag)
     return [b"".join(bag[i : i + 8]) for i in range(0, len(bag), 8)]
 
@@ -112,9 +114,9 @@ def fit(
     """Learn from labels of folds 1 to 4, at most so many documents.
 
     Folds 1 to 3 give the dictionaries.  Toxic documents are mostly ordinary prose, so
-    the toxic dictionary is trained on the words that toxic documents put into many
-    contexts (previous words; copies repeat contexts and do not count) and ordinary
-    ones hardly have; the ordinary dictionary on the frequent words of ordinary
+    the toxic dictionary is trained on the words, and stems of words, that toxic
+    documents put into many contexts (previous words; copies repeat contexts and do not
+    count) and ordinary ones hardly have; the ordinary dictionary on the frequent words of ordinary
     documents.  Words and counts are aggregated by Spark; a bounded list comes back.
     The window threshold is the gain that one ordinary window in 2,000 reaches, and fold 4 calibrates the scores.
     """
@@ -141,7 +143,12 @@ def fit(
         F.sum(F.when(F.col("toxic") == 0, F.col("count")).otherwise(0)).alias("ordinary")), "word-counts")
     n_docs = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     ratio = (F.col("contexts") / max(1, n_docs.get(1, 0))) / ((F.col("ordinary") + 0.5) / max(1, n_docs.get(0, 0)))
-    toxic = counts.filter((F.length("word") >= 4) & (F.col("contexts") >= LEAST_CONTEXTS) & (ratio >= LEAST_RATIO))
+    stems = [F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("-"))) for k in STEMS]
+    forms = counts.filter(F.length("word") >= 4).select(
+        F.explode(F.array("word", *stems)).alias("word"), "contexts", "ordinary").filter("word is not null").groupBy(
+        "word").agg(F.sum("contexts").alias("contexts"), F.sum("ordinary").alias("ordinary"))
+    least = F.when(F.col("word").endswith("-"), LEAST_STEM_CONTEXTS).otherwise(LEAST_CONTEXTS)
+    toxic = forms.filter((F.col("contexts") >= least) & (ratio >= LEAST_RATIO))
     toxic_words = {r["word"]: r["contexts"] for r in toxic.orderBy(F.desc("contexts"), "word").limit(TOXIC_WORDS).collect()}
     ordinary_words = {r["word"]: r["ordinary"] for r in counts.filter("ordinary > 0").orderBy(
         F.desc("ordinary"), "word").limit(ORDINARY_WORDS).collect() if r["word"] not in toxic_words}
