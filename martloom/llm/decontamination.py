@@ -12,7 +12,8 @@ LEAST_LITERALS = 4  # words of a window that are no placeholders
 LEAST_WORDS = 12  # words of an item that a document must repeat in line, or the whole item
 BROADCAST_WINDOWS = 500_000  # about 20 MB; above that the windows meet in a shuffle
 NUMBER, NAME, UNIT = "#number", "#name", "#unit"  # no word has a #
-TOKEN = r"[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*"
+# Words, numbers, and the marks that end a sentence.
+TOKEN = r"[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*|[.!?]+"
 NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
     "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion").split()
@@ -25,26 +26,39 @@ UNITS = (
 NO_ID = -(1 << 63)
 
 
-def words(text: Column) -> Column:
-    """Words and numbers of a text; null has none."""
+def tokens(text: Column) -> Column:
+    """Words, numbers and sentence marks of a text; null has none."""
     return F.regexp_extract_all(blank(text), F.lit(TOKEN), F.lit(0))
 
 
+def _is_mark(token: Column) -> Column:
+    return token.startswith(".") | token.startswith("!") | token.startswith("?")
+
+
+def words(found: Column) -> Column:
+    """The words and numbers among tokens."""
+    return F.filter(found, lambda t: ~_is_mark(t))
+
+
 def _is_number(word: Column) -> Column:
     return ((word >= "0") & (word < ":")) | F.lower(word).isin(NUMBER_WORDS)
 
 
-def canonical(tokens: Column) -> Column:
-    """Each word in lower case, or the placeholder of its type: a number in digits or
-    words, a unit if it follows a number, a name if it has a capital letter."""
+def canonical(found: Column) -> Column:
+    """For each word its lower case or the placeholder of its type: a number in digits
+    or words, a unit if it follows a number, a name if it starts with a capital inside a
+    sentence.  Words all in capitals are no names: a shouted text is the same text."""
 
-    def one(word: Column, i: Column) -> Column:
-        low = F.lower(word)
-        after_number = (i > 0) & _is_number(F.get(tokens, i - 1))
-        return (F.when(_is_number(word), F.lit(NUMBER)).when(low.isin(UNITS) & after_number, F.lit(UNIT))
-                .when(low != word, F.lit(NAME)).otherwise(word))
+    def one(token: Column, i: Column) -> Column:
+        low = F.lower(token)
+        before = F.get(found, i - 1)
+        name = (F.substring(token, 1, 1) != F.substring(low, 1, 1)) & (F.length(token) > 1) & (
+            F.substring(token, 2, 1 << 20) == F.substring(low, 2, 1 << 20)) & (i > 0) & ~_is_mark(before)
+        return (F.when(_is_mark(token), F.lit(None)).when(_is_number(token), F.lit(NUMBER))
+                .when(low.isin(UNITS) & (i > 0) & _is_number(before), F.lit(UNIT))
+                .when((low != token) & name, F.lit(NAME)).otherwise(low))
 
-    return F.transform(tokens, one)
+    return F.filter(F.transform(found, one), lambda w: w.isNotNull())
 
 
 def _windows(template: Column, window: int) -> Column:
@@ -83,8 +97,8 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, leas
     fewer than four literal words, say too little and find nothing.
     """
     items = benchmark.groupBy(blank(F.col("text")).alias("text")).agg(F.min("item_id").alias("item_id")).select(
-        F.xxhash64("text").alias("item"), "item_id", words(F.col("text")).alias("item_words")).withColumn(
-        "item_template", canonical(F.col("item_words")))
+        F.xxhash64("text").alias("item"), "item_id", tokens(F.col("text")).alias("found")).select(
+        "item", "item_id", words(F.col("found")).alias("item_words"), canonical(F.col("found")).alias("item_template"))
     items = stored(items, "items")
     item_windows = stored(items.filter(F.size("item_template") >= window).select(
         "item", "item_template", F.posexplode(_windows(F.col("item_template"), window)).alias("item_at", "hash"),
@@ -92,15 +106,16 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, leas
         "hash", "item", "item_at"), "item-windows")
     few = up_to(item_windows, BROADCAST_WINDOWS)
     keyed = _keyed(docs)
-    templates = keyed.select("id", "digest", canonical(words(F.col("text"))).alias("template"))
+    templates = keyed.select("id", "digest", tokens(F.col("text")).alias("found")).select(
+        "id", "digest", canonical(F.col("found")).alias("template"))
     windows = templates.select("id", "digest", F.posexplode(_windows(F.col("template"), window)).alias("at", "hash"))
     met = windows.join(F.broadcast(item_windows) if few else item_windows, "hash")
     lines = stored(met.groupBy("id", "digest", "item", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.min("item_at").alias("first"), F.max("item_at").alias("last")), "lines")
     named = lines.join(items, "item")
     texts = keyed.join(lines.select("id", "digest").distinct(), ["id", "digest"], "left_semi").dropDuplicates(
-        ["id", "digest"]).select("id", "digest", words(F.col("text")).alias("words")).withColumn(
-        "template", canonical(F.col("words")))
+        ["id", "digest"]).select("id", "digest", tokens(F.col("text")).alias("found")).select(
+        "id", "digest", words(F.col("found")).alias("words"), canonical(F.col("found")).alias("template"))
     both = texts.join(named, ["id", "digest"]).withColumn("places", F.filter(
         F.sequence(F.col("first"), F.col("last") + window - 1),
         lambda p: F.get("item_template", p) == F.get("template", p + F.col("shift"))))
