@@ -107,16 +107,27 @@ def _versions(t):
 
 @query("WITH " + _SAT)
 def satellite_load(t):
-    return vault.satellite(_versions(t), "h_user_pk", ["priority"], "load_dt")
+    return vault.changes(vault.satellite(_versions(t), "h_user_pk", ["priority"], "load_dt"), "h_user_pk", "load_dt")
+
+
+def _two_loads(first, second):
+    stored = vault.satellite(first, "h_user_pk", ["priority"], "load_dt")
+    more = vault.satellite(second, "h_user_pk", ["priority"], "load_dt", stored)
+    return vault.changes(stored.unionByName(more), "h_user_pk", "load_dt")
 
 
 @query("WITH " + _SAT)
 def satellite_increment(t):
     """Two loads, the second on top of the first, equal one load of everything."""
     rows, split = _versions(t), _at("1999-01-01")
-    first = vault.satellite(rows.filter(F.col("load_dt") < split), "h_user_pk", ["priority"], "load_dt")
-    more = vault.satellite(rows.filter(F.col("load_dt") >= split), "h_user_pk", ["priority"], "load_dt", first)
-    return first.unionByName(more)
+    return _two_loads(rows.filter(F.col("load_dt") < split), rows.filter(F.col("load_dt") >= split))
+
+
+@query("WITH " + _SAT)
+def satellite_late(t):
+    """Every other month arrives only after all the others: the result is that of one load."""
+    rows, late = _versions(t), F.month("load_dt") % 2 == 0
+    return _two_loads(rows.filter(~late), rows.filter(late))
 
 
 @query("""

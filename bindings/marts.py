@@ -315,7 +315,7 @@ def _activity(t):
     kind = F.when(F.col("event_type") == "purchase", "message").when(F.col("event_type") == "click", "reaction").when(
         F.col("event_type") == "signup", "subscription").otherwise(F.col("event_type"))
     rows = placed(t.events).select("event_id", "user_id", "event_time", kind.alias("event_type"), "lat", "lon")
-    return nearest(rows, city_rows(), "event_id")
+    return nearest(rows, city_rows())
 
 
 _ZONES = """z AS (SELECT date_trunc('month', ts)::DATE AS month, date_trunc('week', ts)::DATE AS week, zone_id, event_type,

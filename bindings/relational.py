@@ -95,7 +95,7 @@ def semi_top_k(t):
 
 @query(f"WITH {LOCATED_SQL} SELECT event_id, zone_id, round(km, 3) AS km FROM located")
 def geo_nearest(t):
-    rows = nearest(placed(t.events).select("event_id", "lat", "lon"), city_rows(), "event_id")
+    rows = nearest(placed(t.events).select("event_id", "lat", "lon"), city_rows())
     return rows.select("event_id", "zone_id", F.round("distance_km", 3).alias("km"))
 
 
@@ -106,15 +106,30 @@ SELECT event_id, zone_id, round(km, 3) AS km FROM (
          row_number() OVER (PARTITION BY event_id ORDER BY {sql_haversine('lat', 'lon', 'clat', 'clng')}, id) AS rn
   FROM placed JOIN cities ON abs(lat - clat) < 1 AND abs(lon - clng) < 1) WHERE rn = 1""")
 def geo_nearest_box(t):
-    rows = nearest(placed(t.events).select("event_id", "lat", "lon"), city_rows(), "event_id", box_deg=1.0)
+    rows = nearest(placed(t.events).select("event_id", "lat", "lon"), city_rows(), box_deg=1.0)
+    return rows.select("event_id", "zone_id", F.round("distance_km", 3).alias("km"))
+
+
+@query(f"""WITH {PLACED_SQL}, shops AS (
+  SELECT c_custkey, -(10 + ((c_custkey * 7919) % 34000) / 1000.0) AS clat, 113 + ((c_custkey * 104729) % 41000) / 1000.0 AS clng FROM customer)
+SELECT event_id, zone_id, round(km, 3) AS km FROM (
+  SELECT event_id, c_custkey::VARCHAR AS zone_id, {sql_haversine('lat', 'lon', 'clat', 'clng')} AS km,
+         row_number() OVER (PARTITION BY event_id ORDER BY {sql_haversine('lat', 'lon', 'clat', 'clng')}, c_custkey::VARCHAR) AS rn
+  FROM placed CROSS JOIN shops) WHERE rn = 1""")
+def geo_nearest_customer(t):
+    """A reference that grows with the data: each event's nearest customer."""
+    at = placed(t.customer.select(F.col("c_custkey").alias("event_id"), F.lit(None).alias("ts")))
+    shops = at.select(F.col("event_id").cast("string").alias("zone_id"), "lat", F.col("lon").alias("lng"),
+                      F.lit("UTC").alias("timezone"))
+    rows = nearest(placed(t.events).select("event_id", "lat", "lon"), shops)
     return rows.select("event_id", "zone_id", F.round("distance_km", 3).alias("km"))
 
 
 @query("""
 SELECT DISTINCT a.l_partkey AS part_left, b.l_partkey AS part_right FROM lineitem a JOIN lineitem b
-  ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey AND b.l_partkey - a.l_partkey <= 50""")
+  ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey""")
 def co_member_pairs(t):
-    return co_members(t.lineitem, ["l_orderkey"], "l_partkey", "l_partkey", 50, "part_left", "part_right")
+    return co_members(t.lineitem, ["l_orderkey"], "l_partkey", "part_left", "part_right")
 
 
 @query("""
@@ -411,7 +426,7 @@ WITH {LOCATED_SQL}
 SELECT user_id, sum(CASE WHEN zone_id <> prev THEN 1 ELSE 0 END)::BIGINT AS travel_count FROM (
   SELECT user_id, zone_id, lag(zone_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM located) GROUP BY 1""")
 def travel_count(t):
-    rows = nearest(placed(t.events).select("event_id", "user_id", "ts", "lat", "lon"), city_rows(), "event_id")
+    rows = nearest(placed(t.events).select("event_id", "user_id", "ts", "lat", "lon"), city_rows())
     return count_changes(rows, ["user_id"], ["ts", "event_id"], "zone_id", "travel_count")
 
 
@@ -440,7 +455,7 @@ SELECT user_id, state AS zone_id, days, start_date::VARCHAR AS start_date, end_d
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY end_date DESC, days DESC, state) AS rn FROM i WHERE days >= 2)
 WHERE rn = 1""")
 def home_city(t):
-    rows = nearest(placed(t.events).select("event_id", "user_id", "ts", "lat", "lon"), city_rows(), "event_id")
+    rows = nearest(placed(t.events).select("event_id", "user_id", "ts", "lat", "lon"), city_rows())
     return windows.home_state(rows, "user_id", "zone_id", "ts", 2)
 
 

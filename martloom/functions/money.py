@@ -27,13 +27,9 @@ def money(col: Column, precision: int = 14, scale: int = 2) -> Column:
 
 
 def sum_money(col: Column, scale: int = 2) -> Column:
-    """Exact sum of amounts with up to 15 digits, added as whole cents.
-
-    Such an amount survives the way through a double unchanged, and long additions
-    stay in compiled code, unlike sums of wide decimals.
-    """
-    cents = F.sum(F.round(col.cast("double") * 10**scale).cast("bigint"))
-    return (cents.cast("decimal(22,0)") * dec(f"{10 ** -scale:.{scale}f}")).cast(f"decimal(24,{scale})")
+    """Exact sum of amounts with up to 18 digits before the point, in decimals: no
+    overflow below 10^28 units of the last place, and no way through a double."""
+    return F.sum(col.cast(f"decimal({18 + scale},{scale})")).cast(f"decimal(28,{scale})")
 
 
 def dec(text: str) -> Column:

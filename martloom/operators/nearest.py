@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.geo import CITIES, chord_to_km, unit_vector, within_box
 from .windows import top_n
 
-# A reference of up to this many points is written into the expression itself.
-MAX_INLINE = 256
+# A reference of up to this many points is written into the expression itself; much
+# longer ones would not fit into one compiled method.
+MAX_INLINE = 32
 # Larger than any squared distance on the unit sphere (at most 4).
 _OUTSIDE = 9.0
 REF_COLUMNS = ("zone_id", "lat", "lng", "timezone")
@@ -33,23 +34,29 @@ def inline_reference(ref: DataFrame, limit: int = MAX_INLINE) -> list[tuple] | N
 def nearest(
     df: DataFrame,
     ref: DataFrame | Sequence[tuple],
-    row_id: str,
     lat: str = "lat",
     lon: str = "lon",
     box_deg: float | None = None,
 ) -> DataFrame:
-    """Adds zone_id, timezone and distance_km of the nearest reference point.
+    """Adds zone_id, timezone and distance_km of the nearest reference point to every row.
 
-    With box_deg only points less than that many degrees away in both directions
-    count, and rows without any are dropped.  A small reference needs no join and
-    no shuffle; a large one is joined through grid cells.
+    Rows with a NULL coordinate get NULLs, and repeated rows stay repeated.  With
+    box_deg only points less than that many degrees away in both directions count, and
+    rows without any, so those with a NULL coordinate, are dropped.  An empty reference is
+    no point at all.  A small reference needs no join and no shuffle; for a large one each
+    different place is looked up once through grid cells.  Both ways give the same rows.
     """
     rows = inline_reference(ref) if isinstance(ref, DataFrame) else list(ref)
-    if rows is not None:
+    if rows:
         return _nearest_inline(df, rows, lat, lon, box_deg)
-    if box_deg is not None:
-        return _nearest_in_box(df, ref, row_id, lat, lon, box_deg)
-    return _nearest_by_cells(df, ref, row_id, lat, lon)
+    if rows is not None:
+        none = {"zone_id": F.lit(None).cast("string"), "timezone": F.lit(None).cast("string"),
+                "distance_km": F.lit(None).cast("double")}
+        return df.withColumns(none) if box_deg is None else df.withColumns(none).limit(0)
+    places = df.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).dropna().distinct()
+    found = _nearest_by_cells(places, ref) if box_deg is None else _nearest_in_box(places, ref, box_deg)
+    same = (F.col(lat) == F.col("_lat")) & (F.col(lon) == F.col("_lon"))
+    return df.join(found, same, "left" if box_deg is None else "inner").drop("_lat", "_lon")
 
 
 def _chord2(ax: Column, ay: Column, az: Column, bx, by, bz) -> Column:
@@ -80,19 +87,17 @@ def _nearest_inline(df: DataFrame, rows: Sequence[tuple], lat: str, lon: str, bo
         best = best.filter(F.col("_best")["d2"] < _OUTSIDE)
     names = F.array(*[F.lit(r[0]) for r in rows])
     zones = F.array(*[F.lit(r[3]) for r in rows])
-    at = F.col("_best")["i"] + 1
+    at = F.when(F.col("_lat").isNotNull() & F.col("_lon").isNotNull(), F.col("_best")["i"] + 1)
     return best.withColumns({
         "zone_id": F.element_at(names, at),
         "timezone": F.element_at(zones, at),
-        "distance_km": chord_to_km(F.col("_best")["d2"]),
+        "distance_km": F.when(at.isNotNull(), chord_to_km(F.col("_best")["d2"])),
     }).drop("_x", "_y", "_z", "_lat", "_lon", "_best")
 
 
-def _pick_closest(joined: DataFrame, df: DataFrame, row_id: str) -> DataFrame:
-    best = top_n(joined, [row_id], ["_d2", "zone_id"], 1)
-    return best.withColumn("distance_km", chord_to_km(F.col("_d2"))).select(
-        *df.columns, "zone_id", "timezone", "distance_km"
-    )
+def _pick_closest(joined: DataFrame) -> DataFrame:
+    best = top_n(joined, ["_lat", "_lon"], ["_d2", "zone_id", "_rlat", "_rlon", "timezone"], 1)
+    return best.select("_lat", "_lon", "zone_id", "timezone", chord_to_km(F.col("_d2")).alias("distance_km"))
 
 
 def _reference_vectors(ref: DataFrame) -> DataFrame:
@@ -102,7 +107,7 @@ def _reference_vectors(ref: DataFrame) -> DataFrame:
     )
 
 
-def _nearest_in_box(df: DataFrame, ref: DataFrame, row_id: str, lat: str, lon: str, deg: float) -> DataFrame:
+def _nearest_in_box(places: DataFrame, ref: DataFrame, deg: float) -> DataFrame:
     # Grid of box-sized cells; every reference point is listed in its own cell and
     # the eight around it, so one equi-join finds all points inside the box.
     steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
@@ -113,18 +118,18 @@ def _nearest_in_box(df: DataFrame, ref: DataFrame, row_id: str, lat: str, lon: s
         .withColumn("_cy", F.floor(F.col("_rlat") / deg) + F.col("_dy"))
         .withColumn("_cx", F.floor(F.col("_rlon") / deg) + F.col("_dx"))
     )
-    points = _with_vector(df, lat, lon, "_").withColumns(
-        {"_cy": F.floor(F.col(lat) / deg), "_cx": F.floor(F.col(lon) / deg)}
+    points = _with_vector(places, "_lat", "_lon", "_").withColumns(
+        {"_cy": F.floor(F.col("_lat") / deg), "_cx": F.floor(F.col("_lon") / deg)}
     )
     joined = (
         points.join(cells, ["_cy", "_cx"])
-        .filter(within_box(F.col(lat), F.col(lon), F.col("_rlat"), F.col("_rlon"), deg))
+        .filter(within_box(F.col("_lat"), F.col("_lon"), F.col("_rlat"), F.col("_rlon"), deg))
         .withColumn("_d2", _chord2(*[F.col(c) for c in ("_x", "_y", "_z", "_rx", "_ry", "_rz")]))
     )
-    return _pick_closest(joined, df, row_id)
+    return _pick_closest(joined)
 
 
-def _nearest_by_cells(df: DataFrame, ref: DataFrame, row_id: str, lat: str, lon: str, side: float = 0.1) -> DataFrame:
+def _nearest_by_cells(places: DataFrame, ref: DataFrame, side: float = 0.1) -> DataFrame:
     # The unit sphere meets fewer than 6 * (2 / side)^2 cubes of this side, whatever
     # the size of the reference.  For each row the non-empty cubes that can hold
     # the nearest point are those whose centre is at most one cube diagonal
@@ -143,7 +148,7 @@ def _nearest_by_cells(df: DataFrame, ref: DataFrame, row_id: str, lat: str, lon:
         ))
 
     points = (
-        _with_vector(df, lat, lon, "_")
+        _with_vector(places, "_lat", "_lon", "_")
         .withColumn("_cells", cells)
         .withColumn("_far", F.transform("_cells", lambda c: F.named_struct(F.lit("d"), to_centre(c), F.lit("cell"), c)))
         .withColumn("_bound", F.array_min("_far")["d"] + diagonal)
@@ -154,4 +159,4 @@ def _nearest_by_cells(df: DataFrame, ref: DataFrame, row_id: str, lat: str, lon:
     joined = points.join(points_ref, "_cell").withColumn(
         "_d2", _chord2(*[F.col(c) for c in ("_x", "_y", "_z", "_rx", "_ry", "_rz")])
     )
-    return _pick_closest(joined, df, row_id)
+    return _pick_closest(joined)

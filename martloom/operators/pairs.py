@@ -1,8 +1,8 @@
 """Pairs of members that share a group and lie close together.
 
-Pairs are looked up through grid cells inside each group, so a large group is
-never paired with itself as a whole.  Nothing is capped: a cell with many members
-is cut into blocks and every pair of it is still found exactly once.
+Close pairs are looked up through grid cells inside each group.  Nothing is capped: a
+group or cell with many members is cut into blocks and every pair of it is still found
+exactly once.
 """
 
 from __future__ import annotations
@@ -47,16 +47,13 @@ def limit_groups(df: DataFrame, group: str, max_members: int | None) -> DataFram
     return df.join(small.select(group), group, "left_semi")
 
 
-def co_members(df: DataFrame, groups: Sequence[str], member: str, coord: str, reach: float,
-               left: str = "left", right: str = "right", block: int = BLOCK) -> DataFrame:
-    """Distinct pairs left < right that share a group, at most `reach` apart on
-    `coord` (one value per member)."""
-    base = df.select(*groups, F.col(member).alias("_m"), F.col(coord).alias("_c")).distinct()
-    home = F.floor(F.col("_c") / reach)
-    near = base.withColumn("_cell", F.explode(F.array(home - 1, home, home + 1)))
-    joined = _join_cells(near, base.withColumn("_cell", home), [*groups, "_cell"], "_m", block)
+def co_members(df: DataFrame, groups: Sequence[str], member: str, left: str = "left", right: str = "right",
+               block: int = BLOCK) -> DataFrame:
+    """Distinct pairs left < right that share a group.  A group of more than `block`
+    members meets itself in blocks, so no task holds all its pairs."""
+    base = df.select(*groups, F.col(member).alias("_m")).distinct()
     return (
-        joined.filter((F.col("l._m") < F.col("r._m")) & (F.abs(F.col("l._c") - F.col("r._c")) <= reach))
+        _join_cells(base, base, groups, "_m", block).filter(F.col("l._m") < F.col("r._m"))
         .select(F.col("l._m").alias(left), F.col("r._m").alias(right))
         .distinct()
     )

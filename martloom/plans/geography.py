@@ -39,7 +39,7 @@ def user_geography(events: DataFrame, ref, min_days: int = HOME_DAYS) -> DataFra
 
     events(event_id, user_id, event_time, lat, lon); rows with a gap are left out.
     """
-    located = nearest(require(events, "user_id", "event_time", "lat", "lon"), ref, "event_id").select(
+    located = nearest(require(events, "user_id", "event_time", "lat", "lon"), ref).select(
         "event_id", "user_id", "event_time", "zone_id", "timezone"
     )
     # One partial aggregate gives the last place and the (reference-sized) city set.
@@ -112,7 +112,7 @@ def friend_recommendations(subscriptions: DataFrame, places: DataFrame, interact
     members = require(subscriptions.select("user_id", "channel_id"), "user_id", "channel_id").distinct()
     members = limit_groups(members, "channel_id", max_channel)
     last = latest(require(places, "user_id", "lat", "lon"), ["user_id"], ["event_time", "event_id"])
-    located = nearest(last.select("user_id", "lat", "lon"), ref, "user_id", box_deg=CITY_BOX_DEG)
+    located = nearest(last.select("user_id", "lat", "lon"), ref, box_deg=CITY_BOX_DEG)
     rows = members.join(located.select("user_id", "lat", "lon", "zone_id"), "user_id")
     pairs = pairs_within(rows, ["channel_id", "zone_id"], "user_id", "lat", "lon", km)
     pairs = pairs.select("user_left", "user_right", "zone_id").distinct()

@@ -25,6 +25,7 @@ def build_session(app: str = "martloom", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
+    builder = builder.config("spark.streaming.stopGracefullyOnShutdown", "true")
     for key, value in {**RUNTIME, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -37,34 +38,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-SHUFFLE_MB = 128
-MAX_SHUFFLE_PARTITIONS = 100_000
-LARGE_INPUT = 10 * 1024**4
-
-
-def folder_bytes(spark: SparkSession, folder: str) -> int:
-    """Size of everything under a folder, asked from the file system."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(path).getLength()
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Number of shuffle partitions for an input of this size: about 128 MB each.
-
-    It is where AQE starts from; AQE only merges partitions, so a fixed small number
-    would give partitions of many gigabytes on a large input.  Never below the
-    session's own setting.
-    """
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // (SHUFFLE_MB * 1024**2)))
-    start = max(configured, wanted)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
-    if input_bytes > LARGE_INPUT:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "512m")
-    return start
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     """What a shuffle starts with in this session."""
     configured = spark.conf.get("spark.sql.shuffle.partitions")
@@ -74,9 +47,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder of the session; a private one only for local masters."""
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    if current := sc.getCheckpointDir():
+        return current
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if shared is None:
         if not sc.master.startswith("local"):

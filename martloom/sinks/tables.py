@@ -48,9 +48,13 @@ def write_bucketed(df: DataFrame, table: str, key: str | Sequence[str], buckets:
 
 
 def replace_slice(df: DataFrame, path: str, part_col: str, day: str | None = None) -> None:
-    """Replace the partitions that df holds (or exactly `day`); the others stay."""
-    rows = df if day is None else df.filter(F.col(part_col) == F.lit(day).cast(df.schema[part_col].dataType))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path)
+    """Replace the partitions that df holds, or exactly `day`, which is empty afterwards
+    if df has no row of it; the others stay."""
+    if day is not None:
+        rows = df.filter(F.col(part_col) == F.lit(day).cast(df.schema[part_col].dataType)).drop(part_col)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{part_col}={day}")
+        return
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path)
 
 
 def write_console(stream: DataFrame, **options):

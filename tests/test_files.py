@@ -37,6 +37,20 @@ def test_increment_without_status(spark, tmp_path):
     assert rows(read[0].unionByName(read[1])) == [("a", 3, "shipped"), ("b", 4, "refunded")]
 
 
+def test_increments_of_one_folder_drift(spark, tmp_path):
+    fields = {"uniq_id": "string", "quantity": "int", "status": "string", "amount": "double"}
+    _write(f"{tmp_path}/in/a.csv", "id,uniq_id,quantity,amount\n1,a,3,20\n2,status,4,30\n")
+    _write(f"{tmp_path}/in/b.csv", 'amount,"status",uniq_id,id,quantity\n40,refunded,b,1,5\n')
+    _write(f"{tmp_path}/in/c.csv", "id,uniq_id,quantity,amount\n3,c,6,50\n")
+    got = files.read_increment(spark, f"{tmp_path}/in", fields, defaults={"status": "shipped"})
+    assert rows(got) == [("a", 3, "shipped", 20.0), ("b", 5, "refunded", 40.0), ("c", 6, "shipped", 50.0), ("status", 4, "shipped", 30.0)]
+
+
+def test_responses_land_as_text(spark, tmp_path):
+    files.land_raw_text(frame(spark, "category string, body string", ("people", "{}"), ("films", "[1]")), f"{tmp_path}/raw")
+    assert rows(spark.read.text(f"{tmp_path}/raw"), "category", "value") == [("films", "[1]"), ("people", "{}")]
+
+
 def test_group_log_and_records(spark, tmp_path):
     log = _write(f"{tmp_path}/log.csv", "group_id,user_id,user_id_from,event,datetime\n1,2,,add,2024-01-01 10:00:00\n1,3,4.0,leave,\n")
     got = files.read_group_log(spark, log)
@@ -92,6 +106,14 @@ def test_replace_slice_twice_is_once(spark, tmp_path):
         assert rows(spark.read.parquet(path), "v") == [(1,), (9,)]
 
 
+def test_replace_slice_with_nothing_empties_the_day(spark, tmp_path):
+    path = f"{tmp_path}/facts"
+    both = frame(spark, "v int, day string", (1, "2024-01-01"), (2, "2024-01-02"))
+    tables.write_table(both, path, partition_by=["day"])
+    tables.replace_slice(both.limit(0), path, "day", "2024-01-01")
+    assert rows(spark.read.parquet(path), "v", "day") in ([(2, dt.date(2024, 1, 2))], [(2, "2024-01-02")])
+
+
 def test_append_views_stage_and_buckets(spark, tmp_path):
     path = f"{tmp_path}/log"
     for _ in range(2):

@@ -113,3 +113,12 @@ def test_haversine_and_chord_agree(spark):
     chord = geo.chord_to_km(F.pow(ax - bx, 2) + F.pow(ay - by, 2) + F.pow(az - bz, 2))
     gap = df.select(F.abs(chord - geo.haversine(*[F.col(c) for c in "abcd"])).alias("g")).agg(F.max("g")).first()[0]
     assert gap < 1e-3
+
+
+def test_sum_money_neither_overflows_nor_rounds(spark):
+    from decimal import Decimal
+    big = Decimal("123456789012345.67")
+    df = spark.createDataFrame([(big,)] * 3, "v decimal(17,2)")
+    assert df.agg(money.sum_money(F.col("v"))).first()[0] == 3 * big
+    many = spark.range(4).select(F.lit(Decimal("999999999999999.9999")).cast("decimal(19,4)").alias("v"))
+    assert many.agg(money.sum_money(F.col("v"), 4)).first()[0] == 4 * Decimal("999999999999999.9999")

@@ -275,51 +275,55 @@ def test_restaurants(spark):
 
 @pytest.fixture
 def garage(spark):
+    stock = {"hatch": ["available"] * 2, "van": ["reserve", "available", "available", "available"], "coupe": ["delivery"],
+             "truck": ["available", "sold"]}
+    ids = {name: 10 * (k + 1) for k, name in enumerate(stock)}
     cars = frame(spark, "vin string, model int, price int, date_start date, status string",
-                 *[(f"v{i}", m, 1000 + i, dt.date(2024, 2, 1), s) for i, (m, s) in enumerate(
-                     [(1, "available"), (2, "reserve"), (1, "available"), (3, "available"), (3, "reserve"), (1, "available"),
-                      (4, "available"), (3, "available"), (5, "delivery")])])
-    models = frame(spark, "id int, name string, brand string", (1, "One", "A"), (2, "Two", "A"), (3, "Three", "B"),
-                   (4, "Four", "C"), (5, "Five", "D"))
+                 *[(f"{name}-{i}", ids[name], 500 * (i + 1), dt.date(2023, 9, 1 + i), status)
+                   for name, all_ in stock.items() for i, status in enumerate(all_)])
+    models = frame(spark, "id int, name string, brand string",
+                   *[(ids[name], name, "North" if name in ("van", "truck") else "South") for name in stock])
     none = spark.createDataFrame([], "sales_number string, car_vin string, sales_date timestamp_ntz, cost int")
     return cars, models, none
 
 
 def _sale(spark, *vins):
     return frame(spark, "sales_number string, car_vin string, sales_date timestamp_ntz, cost int",
-                 *[(f"s#{v}", v, T0 + dt.timedelta(days=i), 10 + i) for i, v in enumerate(vins)])
+                 *[(f"n/{v}", v, T0 + dt.timedelta(hours=6 * i), 700 + 5 * i) for i, v in enumerate(vins)])
 
 
-def test_sell_and_revert(spark, garage):
+def test_two_sales_one_taken_back(spark, garage):
     cars, models, sales_ = garage
-    cars2, sales2 = inventory.sell(cars, sales_, _sale(spark, "v4"))
-    assert rows(cars2.filter("vin = 'v4'"), "status") == [("sold",)] and sales2.count() == 1
-    assert rows(inventory.car_info(cars2, models, sales2).filter("vin = 'v4'"), "car_model_name", "sales_cost") == [("Three", 10)]
-    assert rows(inventory.car_info(cars, models, sales_).filter("vin = 'v4'"), "sales_date", "sales_cost") == [(None, None)]
-    cars3, sales3 = inventory.revert(cars2, sales2, frame(spark, "sales_number string", ("s#v4",)))
-    assert rows(cars3.filter("vin = 'v4'"), "status") == [("available",)] and sales3.isEmpty()
-    assert inventory.list_cars(cars, "available").count() == 6
-    assert inventory.add_cars(cars, cars.limit(1)).count() == 10
-
-
-def test_unknown_car_or_sale_fails(spark, garage):
+    after, sold = inventory.sell(cars, sales_, _sale(spark, "van-1", "hatch-0"))
+    assert rows(after.filter("status = 'sold'"), "vin") == [("hatch-0",), ("truck-1",), ("van-1",)] and sold.count() == 2
+    info = inventory.car_info(after, models, sold)
+    assert rows(info.filter("vin in ('van-1', 'van-2')"), "vin", "car_model_name", "sales_cost") == [
+        ("van-1", "van", 700), ("van-2", "van", None)]
+    back, left = inventory.revert(after, sold, frame(spark, "sales_number string", ("n/van-1",)))
+    assert rows(back.filter("vin = 'van-1'"), "status") == [("available",)] and rows(left, "car_vin") == [("hatch-0",)]
+    assert [inventory.list_cars(cars, s).count() for s in ("available", "reserve", "delivery", "sold", "lost")] == [6, 1, 1, 1, 0]
+    assert inventory.add_cars(cars, cars.limit(2)).count() == 11
+
+
+@pytest.mark.parametrize("step, message", [("sell", "VIN not found"), ("revert", "sale not found")])
+def test_what_is_not_there_fails(spark, garage, step, message):
     cars, _, sales_ = garage
-    with pytest.raises(ValueError, match="VIN not found"):
-        inventory.sell(cars, sales_, _sale(spark, "nope"))
-    with pytest.raises(ValueError, match="sale not found"):
-        inventory.revert(cars, sales_, frame(spark, "sales_number string", ("nope",)))
+    rows_ = _sale(spark, "bus-0") if step == "sell" else frame(spark, "sales_number string", ("n/bus-0",))
+    with pytest.raises(ValueError, match=message):
+        getattr(inventory, step)(cars, sales_, rows_)
 
 
-def test_rename_reaches_the_sales(spark, garage):
+def test_new_number_follows_into_the_sales(spark, garage):
     cars, models, sales_ = garage
-    cars, sales_ = inventory.sell(cars, sales_, _sale(spark, "v0"))
-    cars, sales_ = inventory.rename_vin(cars, sales_, frame(spark, "vin string, new_vin string", ("v0", "w0")))
+    cars, sales_ = inventory.sell(cars, sales_, _sale(spark, "coupe-0", "truck-0"))
+    cars, sales_ = inventory.rename_vin(cars, sales_, frame(spark, "vin string, new_vin string", ("truck-0", "truck-x")))
     info = inventory.car_info(cars, models, sales_)
-    assert info.filter("vin = 'v0'").isEmpty() and rows(info.filter("vin = 'w0'"), "sales_cost") == [(10,)]
+    assert rows(info.filter("sales_cost is not null"), "vin", "sales_cost") == [("coupe-0", 700), ("truck-x", 705)]
+    assert info.filter("vin = 'truck-0'").isEmpty()
 
 
-def test_top_three_models_tie_goes_to_the_first_sold(spark, garage):
+def test_models_by_sales_then_by_first_sale(spark, garage):
     cars, models, sales_ = garage
-    _, sold = inventory.sell(cars, sales_, _sale(spark, "v0", "v2", "v5", "v4", "v7", "v6", "v1"))
+    _, sold = inventory.sell(cars, sales_, _sale(spark, "truck-0", "hatch-1", "van-2", "van-0", "hatch-0", "coupe-0"))
     assert sorted(rows(inventory.top_models(sold, cars, models), "sales_number", "car_model_name"), reverse=True) == [
-        (3, "One"), (2, "Three"), (1, "Four")]
+        (2, "van"), (2, "hatch"), (1, "truck")]

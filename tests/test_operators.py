@@ -220,7 +220,7 @@ def test_nearest_small_and_large_reference(spark, monkeypatch, box, limit):
     points = _points(spark)
     ref = spark.createDataFrame([(c[1].lower(), c[2], c[3], c[4]) for c in CITIES], "zone_id string, lat double, lng double, timezone string")
     brute = _brute(points, ref.select("zone_id", F.col("lat").alias("rlat"), F.col("lng").alias("rlng")), box)
-    got = nearest.nearest(points, ref, "id", box_deg=box)
+    got = nearest.nearest(points, ref, box_deg=box)
     assert rows(got, "id", "zone_id") == rows(brute, "id", "zone_id")
 
 
@@ -229,7 +229,22 @@ def test_nearest_far_from_every_reference_point(spark, monkeypatch):
     points = frame(spark, "id int, lat double, lon double", (1, 60.0, -30.0), (2, 89.0, 10.0), (3, -89.0, -170.0))
     ref = spark.createDataFrame([(c[1].lower(), c[2], c[3], c[4]) for c in CITIES], "zone_id string, lat double, lng double, timezone string")
     brute = _brute(points, ref.select("zone_id", F.col("lat").alias("rlat"), F.col("lng").alias("rlng")))
-    assert rows(nearest.nearest(points, ref, "id"), "id", "zone_id") == rows(brute, "id", "zone_id")
+    assert rows(nearest.nearest(points, ref), "id", "zone_id") == rows(brute, "id", "zone_id")
+
+
+@pytest.mark.parametrize("box", [None, 30.0])
+def test_nearest_has_one_contract_for_every_reference_size(spark, box):
+    points = frame(spark, "id int, lat double, lon double", (1, -20.0, 120.0), (1, -20.0, 120.0), (2, None, 120.0),
+                   (3, -20.0, None), (4, 60.0, -100.0), (5, -33.3, 140.7))
+    answers = []
+    for n in (nearest.MAX_INLINE - 1, nearest.MAX_INLINE, nearest.MAX_INLINE + 1):
+        ref = spark.createDataFrame([(f"z{i:03}", *((-40.0 + 3 * i, 115.0 + 3 * i) if i < 10 else (80.0 + i * 0.01, -170.0)), "UTC") for i in range(n)],
+                                    "zone_id string, lat double, lng double, timezone string")
+        got = nearest.nearest(points, ref, box_deg=box)
+        answers.append(rows(got.select("id", "zone_id", F.round("distance_km", 6))))
+    assert answers[0] == answers[1] == answers[2]
+    assert [r[0] for r in answers[0]] == ([1, 1, 2, 3, 4, 5] if box is None else [1, 1, 5])
+    assert {r[0] for r in answers[0] if r[1] is None} == ({2, 3} if box is None else set())
 
 
 @pytest.mark.parametrize("block", [3, 2000])
@@ -250,8 +265,8 @@ def test_co_members_equal_brute_force(spark, block):
     rng = random.Random(2)
     df = spark.createDataFrame([(rng.randrange(4), rng.randrange(60)) for _ in range(200)], "g int, m int")
     a, b = df.distinct().alias("a"), df.distinct().alias("b")
-    brute = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.m") < F.col("b.m")) & (F.col("b.m") - F.col("a.m") <= 10))
-    got = pairs.co_members(df, ["g"], "m", "m", 10, block=block)
+    brute = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.m") < F.col("b.m")))
+    got = pairs.co_members(df, ["g"], "m", block=block)
     assert rows(got) == rows(brute.select("a.m", "b.m").distinct())
 
 
@@ -270,8 +285,18 @@ def test_satellite_keeps_changes_only_and_reload_adds_nothing(spark):
     src = frame(spark, "k string, status string, load_dt timestamp_ntz",
                 ("a", "new", at(1)), ("a", "new", at(2)), ("a", "done", at(3)), ("a", "new", at(4)), ("b", None, at(1)))
     first = vault.satellite(src, "k", ["status"], "load_dt")
-    assert rows(first, "k", "status", "load_dt") == [
+    assert rows(vault.changes(first, "k", "load_dt"), "k", "status", "load_dt") == [
         ("a", "done", at(3)), ("a", "new", at(1)), ("a", "new", at(4)), ("b", None, at(1))]
     assert vault.satellite(src, "k", ["status"], "load_dt", first).isEmpty()
-    more = frame(spark, "k string, status string, load_dt timestamp_ntz", ("a", "new", at(5)), ("b", "x", at(6)))
+    more = frame(spark, "k string, status string, load_dt timestamp_ntz", ("a", "new", at(4)), ("b", "x", at(6)))
     assert rows(vault.satellite(more, "k", ["status"], "load_dt", first), "k", "status") == [("b", "x")]
+
+
+def test_late_version_makes_its_successor_a_change(spark):
+    def version(status, hour):
+        return frame(spark, "k string, status string, load_dt timestamp_ntz", ("a", status, dt.datetime(2024, 1, 1, hour)))
+
+    stored = vault.satellite(version("A", 1).unionByName(version("A", 3)), "k", ["status"], "load_dt")
+    stored = stored.unionByName(vault.satellite(version("B", 2), "k", ["status"], "load_dt", stored))
+    got = rows(vault.changes(stored, "k", "load_dt"), "load_dt", "status")
+    assert [status for _, status in got] == ["A", "B", "A"]

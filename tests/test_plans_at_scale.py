@@ -2,9 +2,9 @@
 
 import pytest
 
-import __spark_entry__ as entry
+import __spark_entry__  # noqa: F401  registers the queries
+from bindings import registry
 from martloom.operators import skew
-from martloom.session import size_shuffles
 from tests.helpers import plan
 
 FOLDER = "/root/testdata/sf0.001"
@@ -16,7 +16,7 @@ SINGLE_TASK_OK = {"numbered_rows", "array_pair"}
 def plans(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        yield {name: plan(q(spark, FOLDER)) for name, q in entry.queries().items()}
+        yield {name: plan(q(spark, FOLDER)) for name, q in registry.QUERIES.items()}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -25,15 +25,11 @@ def test_no_query_pairs_everything_with_everything(plans):
     assert [n for n, p in plans.items() if "CartesianProduct" in p or "BroadcastNestedLoopJoin" in p] == []
 
 
-def test_shuffles_grow_with_the_input(spark):
-    try:
-        assert size_shuffles(spark, 10**6) == 8
-        assert size_shuffles(spark, 10**12) == 7451
-        assert size_shuffles(spark, 10**16) == 100_000
-        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "512m"
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+def test_queries_leave_the_sizing_to_the_session(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get(name, None)
+    registry.QUERIES["agg_basic"](spark, FOLDER)
+    assert (spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get(name, None)) == before
 
 
 def test_no_python_in_the_rows_path(plans):
