@@ -16,6 +16,7 @@ from martloom.functions.keys import hash_key
 from martloom.plans import counters
 from martloom.session import ensure_checkpoint_dir
 from martloom.sources.streams import parse_stream
+from martloom.operators import vault
 from martloom.streaming import campaigns, common, order_counters, order_vault
 
 from .registry import query
@@ -105,4 +106,5 @@ def stream_vault(t):
     root = _root(t)
     stream = parse_stream(texts, order_vault.ORDER_SCHEMA)
     common.start(stream, order_vault.vault_batch(root), f"{root}/progress").awaitTermination()
-    return t.spark.read.parquet(f"{root}/s_user_names").drop("batch_id")
+    stored = t.spark.read.parquet(f"{root}/s_user_names").drop("batch_id")
+    return vault.changes(stored, "h_user_pk", "load_dt")

@@ -87,11 +87,11 @@ def _nearest_inline(df: DataFrame, rows: Sequence[tuple], lat: str, lon: str, bo
         best = best.filter(F.col("_best")["d2"] < _OUTSIDE)
     names = F.array(*[F.lit(r[0]) for r in rows])
     zones = F.array(*[F.lit(r[3]) for r in rows])
-    at = F.when(F.col("_lat").isNotNull() & F.col("_lon").isNotNull(), F.col("_best")["i"] + 1)
+    at, known = F.col("_best")["i"] + 1, F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
     return best.withColumns({
-        "zone_id": F.element_at(names, at),
-        "timezone": F.element_at(zones, at),
-        "distance_km": F.when(at.isNotNull(), chord_to_km(F.col("_best")["d2"])),
+        "zone_id": F.when(known, F.element_at(names, at)),
+        "timezone": F.when(known, F.element_at(zones, at)),
+        "distance_km": F.when(known, chord_to_km(F.col("_best")["d2"])),
     }).drop("_x", "_y", "_z", "_lat", "_lon", "_best")
 
 
