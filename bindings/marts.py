@@ -29,10 +29,10 @@ def _market(t):
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("craftsman_id"), F.to_date("l_shipdate").alias("_shipped"))
     # The customers of the lines are not known before the join; the orders stand in.
-    hot = hot_key_table(lines, ["order_id", "product_id", "craftsman_id"])
+    hot = hot_key_table(lines, ["product_id", "craftsman_id"])
     hot["customer_id"] = hot_keys(orders, "customer_id")
     # An order in delivery has no completion date yet.
-    fact = skew_join(lines, orders, "order_id", "inner", hot["order_id"]).withColumn(
+    fact = lines.join(orders, "order_id").withColumn(
         "order_completion_date", F.when(F.col("order_status") != "delivery", F.col("_shipped"))).drop("_shipped")
 
     def people(df, key, name, nation, who, step):
@@ -137,7 +137,7 @@ def _sales_log(t):
         F.col("l_suppkey").alias("city_id"), F.col("l_quantity").cast("bigint").alias("quantity"),
         money(F.col("l_extendedprice")).alias("payment_amount"), status.alias("status"))
     buyers = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"))
-    return skew_join(lines, buyers, "l_orderkey", "inner", hot_keys(t.lineitem, "l_orderkey")).drop("l_orderkey")
+    return lines.join(buyers, "l_orderkey").drop("l_orderkey")
 
 
 _SALES = """
@@ -389,7 +389,7 @@ def _messages(t):
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("h_user_pk"),
         F.when(F.col("o_orderstatus") == "F", "CLOSED").when(F.col("o_orderstatus") == "P", "OPEN").alias("status"))
     lines = t.lineitem.select("l_orderkey", F.array(F.struct(F.col("l_partkey").alias("product_id"))).alias("products"))
-    messages = skew_join(lines, orders, "l_orderkey", "inner", hot_keys(t.lineitem, "l_orderkey"))
+    messages = lines.join(orders, "l_orderkey")
     pk = hash_key(F.col("p_partkey"))
     products = t.part.select(pk.alias("h_product_pk"), F.col("p_partkey").alias("product_id"))
     renamed = t.part.filter(F.col("p_size") > 25).select(

@@ -31,7 +31,7 @@ def join_inner_star(t):
     orders = t.orders.filter(F.col("o_orderpriority") != "5-LOW").select(F.col("o_orderkey").alias("l_orderkey"))
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type")
     suppliers = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    kept = skew_join(lines, orders, "l_orderkey", "left_semi", hot_keys(t.lineitem, "l_orderkey"))
+    kept = lines.join(orders, "l_orderkey", "left_semi")
     # Folded to one row per (part, supplier) before the dimensions are attached, so a
     # part or supplier with very many lines reaches the joins already summed up.
     folded = kept.groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"), sum_money(F.col("net"), 4).alias("net"))
@@ -265,7 +265,7 @@ SELECT o_orderpriority, median(date_diff('day', o_orderdate::DATE, l_shipdate::D
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
 def median_days(t):
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority")
-    lines = skew_join(t.lineitem.select("l_orderkey", "l_shipdate"), orders, "l_orderkey")
+    lines = t.lineitem.select("l_orderkey", "l_shipdate").join(orders, "l_orderkey")
     days = lines.select("o_orderpriority", F.datediff("l_shipdate", "o_orderdate").alias("days"))
     return agg.median_by(days, ["o_orderpriority"], "days")
 
@@ -277,8 +277,7 @@ SELECT person, string_agg(car, ', ' ORDER BY car) AS cars FROM (
 def string_agg(t):
     sales, models, brands = _car_sales(t)
     buyers = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"))
-    bought = skew_join(sales.select("l_orderkey", "model_id"), buyers, "l_orderkey", "inner",
-                       hot_keys(t.lineitem, "l_orderkey"))
+    bought = sales.select("l_orderkey", "model_id").join(buyers, "l_orderkey")
     customers = t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"))
     return dealership.cars_of_person(bought, customers, models, brands)
 

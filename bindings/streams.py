@@ -7,8 +7,9 @@ every run, and the result is read back from there.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.dates import epoch
@@ -92,13 +93,71 @@ SELECT pk AS h_user_pk, username, userlogin, strftime(min(d), '%Y-%m-%d %H:%M:%S
   sha256(concat_ws('|', username, userlogin)) AS hashdiff FROM v GROUP BY ALL""")
 def stream_vault(t):
     """Orders as messages into the vault; the satellite of user names is read back."""
+    root = _run_vault(t, F.col("o_orderstatus"), F.col("o_orderstatus"))
+    return vault.changes(_vault_table(t, root, "s_user_names"), "h_user_pk", "load_dt")
+
+
+def _sha(*columns: str) -> str:
+    parts = [f"sha256({c}::VARCHAR)" for c in columns]
+    return parts[0] if len(parts) == 1 else f"sha256(concat_ws('|', {', '.join(parts)}))"
+
+
+# Table -> its key, and what else makes a row of it.
+_VAULT_KEYS = {
+    "h_order": (_sha("o_orderkey"), "1"), "h_user": (_sha("o_custkey"), "1"), "h_restaurant": (_sha("o_orderpriority"), "1"),
+    "h_product": (_sha("o_orderpriority"), "1"), "h_category": (_sha("o_orderstatus"), "1"),
+    "l_order_user": (_sha("o_orderkey", "o_custkey"), "1"), "l_order_product": (_sha("o_orderkey", "o_orderpriority"), "1"),
+    "l_product_restaurant": (_sha("o_orderpriority", "o_orderpriority"), "1"),
+    "l_product_category": (_sha("o_orderpriority", "o_orderstatus"), "1"),
+    "s_order_cost": (_sha("o_orderkey"), "(o_orderdate, o_totalprice)"),
+    "s_order_status": (_sha("o_orderkey"), "(o_orderdate, o_orderstatus)"), "s_user_names": (_sha("o_custkey"), "o_orderdate"),
+    "s_restaurant_names": (_sha("o_orderpriority"), "o_orderdate"), "s_product_names": (_sha("o_orderpriority"), "o_orderdate"),
+}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, count(*) AS n_rows, count(DISTINCT k) AS n_keys, min(k) AS first_key, max(k) AS last_key "
+    f"FROM (SELECT DISTINCT {key} AS k, {more} AS m FROM orders JOIN customer ON c_custkey = o_custkey)"
+    for table, (key, more) in _VAULT_KEYS.items()))
+def stream_vault_tables(t):
+    """Rows and keys of all tables of the vault."""
+    root = _run_vault(t, F.col("o_orderstatus"), F.col("o_orderstatus"))
+    keys = {**{table: key for table, (_, key) in order_vault.HUBS.items()},
+            **{table: key for table, (key, _) in order_vault.LINKS.items()},
+            **{table: key for table, (key, _, _) in order_vault.SATELLITES.items()}}
+    return reduce(DataFrame.unionByName, [_vault_table(t, root, table).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys"), F.min(key).alias("first_key"),
+        F.max(key).alias("last_key")).withColumn("table_name", F.lit(table)) for table, key in keys.items()])
+
+
+@query("""
+SELECT sha256(o_custkey::VARCHAR) AS user_id, sha256(left(o_orderpriority, 1)) AS category_id,
+  left(o_orderpriority, 1) AS category_name, count(*) AS order_cnt
+FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus <> 'P' GROUP BY ALL""")
+def stream_chain(t):
+    """Orders into the vault, the vault's messages and directory into the counters by category."""
+    status = F.when(F.col("o_orderstatus") == "F", "CLOSED").when(F.col("o_orderstatus") == "P", "OPEN")
+    root = _run_vault(t, status, F.substring("o_orderpriority", 1, 1))
+    directory = counters.product_directory(*[
+        _vault_table(t, root, name).select(*columns) for name, columns in (
+            ("h_product", ["h_product_pk", "product_id"]), ("s_product_names", ["h_product_pk", "name", "load_dt"]),
+            ("l_product_category", ["h_product_pk", "h_category_pk"]), ("h_category", ["h_category_pk", "category_name"]))])
+    sent = t.spark.readStream.schema("value string").parquet(f"{root}/{order_vault.MESSAGES}/{common.BATCH}=*")
+    stream = parse_stream(sent, order_counters.ENRICHED_SCHEMA)
+    handle = order_counters.counter_batch(f"{root}/counted", directory)
+    common.start(stream, handle, f"{root}/counted-progress").awaitTermination()
+    return order_counters.read_counters(t.spark, f"{root}/counted", "category")
+
+
+def _run_vault(t, status: Column, category: Column) -> str:
+    """The folder of a vault that has worked off the orders."""
     users = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_name"))
     rows = _stream(t, "orders").join(users, "o_custkey")
     product = F.struct(F.col("o_orderpriority").alias("id"), F.upper("o_orderpriority").alias("name"),
-                       F.col("o_orderstatus").alias("category"))
+                       category.alias("category"))
     payload = F.struct(
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("date"), F.col("o_totalprice").alias("cost"),
-        F.col("o_totalprice").alias("payment"), F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("payment"), status.alias("status"),
         F.struct(F.col("o_custkey").cast("string").alias("id"), F.col("c_name").alias("name")).alias("user"),
         F.struct(F.col("o_orderpriority").alias("id"), F.col("o_orderpriority").alias("name")).alias("restaurant"),
         F.array(product).alias("products"))
@@ -106,5 +165,8 @@ def stream_vault(t):
     root = _root(t)
     stream = parse_stream(texts, order_vault.ORDER_SCHEMA)
     common.start(stream, order_vault.vault_batch(root), f"{root}/progress").awaitTermination()
-    stored = t.spark.read.parquet(f"{root}/s_user_names").drop("batch_id")
-    return vault.changes(stored, "h_user_pk", "load_dt")
+    return root
+
+
+def _vault_table(t, root: str, name: str) -> DataFrame:
+    return t.spark.read.parquet(f"{root}/{name}").drop(common.BATCH)
