@@ -11,13 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.shared import stored, up_to
+from martloom.llm.shared import blank, stored, up_to
 from martloom.llm.url_filter import split_url
 
 DECAY = 0.9
 LEAST_PAGES = 5
 LEAST_IMPORTANCE = 0.2
-BROADCAST_BRANCHES = 200_000  # low branches, about 5 MB; above that pages and hosts meet in a shuffle
+BROADCAST_BRANCHES = 200_000  # low branches, about 5 MB; above that pages and branches meet in a shuffle
 
 MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
@@ -216,6 +216,37 @@ def low_branches(
         F.col("importance") < least_importance).select("host", "path")
 
 
+def _extract_by_join(pages: DataFrame, low: DataFrame) -> DataFrame:
+    """page_id, url, text, where low branches are too many to broadcast.
+
+    Every page gets the low ones among its own branches, found by (host, path), so neither
+    a page nor a task holds all branches of a host.  Pages of a host with the same html share them.
+    """
+
+    @F.pandas_udf("string")
+    def host_of(urls: pd.Series) -> pd.Series:
+        return pd.Series([split_url(u)[0] for u in urls], dtype=object)
+
+    def paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            out = []
+            for host, digest, page in zip(rows["host"], rows["digest"], rows["html"]):
+                owners = [node for node, _ in parse(page)[0]]
+                if max((node.level for node in owners), default=OTHER) == OTHER:
+                    out += [(host, digest, path) for path in {_hash(node.path) for node in owners}]
+            yield pd.DataFrame(out, columns=["host", "digest", "path"])
+
+    @F.pandas_udf("string")
+    def text_without(htmls: pd.Series, lows: pd.Series) -> pd.Series:
+        return pd.Series([main_text(h, frozenset(x) if x is not None else frozenset()) for h, x in zip(htmls, lows)], dtype=object)
+
+    keyed = pages.select("page_id", "url", "html", host_of("url").alias("host"), F.sha2(blank(F.col("html")), 256).alias("digest"))
+    own = keyed.select("host", "digest", "html").mapInPandas(paths, "host string, digest string, path long").distinct()
+    lows = stored(own.join(low, ["host", "path"], "left_semi").groupBy("host", "digest").agg(
+        F.collect_set("path").alias("low")), "low-by-page")
+    return keyed.join(lows, ["host", "digest"], "left").select("page_id", "url", text_without("html", "low").alias("text"))
+
+
 def extract(
     pages: DataFrame, least_pages: int = LEAST_PAGES, least_importance: float = LEAST_IMPORTANCE,
 ) -> DataFrame:
@@ -225,7 +256,7 @@ def extract(
     comments are noise by element, class, id or role; of what is left the article (else
     the main element) is the text, and on pages without either, the branches of some
     importance in the style tree of their host.  Null and empty html give empty text.
-    A short list of low branches is broadcast; a longer one is joined by host.
+    A short list of low branches is broadcast; a longer one is joined by host and path.
     """
     low = stored(low_branches(pages, least_pages, least_importance), "low-branches")
     if up_to(low, BROADCAST_BRANCHES):
@@ -240,15 +271,5 @@ def extract(
 
         out = pages.select("page_id", "url", text_of("url", "html").alias("text"))
     else:
-        @F.pandas_udf("string")
-        def host_of(urls: pd.Series) -> pd.Series:
-            return pd.Series([split_url(u)[0] for u in urls])
-
-        @F.pandas_udf("string")
-        def text_within(htmls: pd.Series, lows: pd.Series) -> pd.Series:
-            return pd.Series([main_text(h, frozenset(x) if x is not None else frozenset()) for h, x in zip(htmls, lows)])
-
-        lows = stored(low.groupBy("host").agg(F.collect_set("path").alias("low")), "low-by-host")
-        out = pages.select("page_id", "url", "html", host_of("url").alias("host")).join(lows, "host", "left").select(
-            "page_id", "url", text_within("html", "low").alias("text"))
+        out = _extract_by_join(pages, low)
     return out.withColumn("n_chars", F.length("text").cast("long"))
