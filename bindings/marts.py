@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from martloom.functions.keys import hash_key
 from martloom.functions.money import money
 from martloom.operators.nearest import city_rows, nearest
-from martloom.operators.skew import hot_key_table, hot_keys, skew_join
+from martloom.operators.skew import skew_join
 from martloom.functions.geo import CITIES
 from martloom.plans import conversion, counters, currency, geography, reports, sales
 from martloom.plans import ledger as courier
@@ -19,7 +19,7 @@ from .registry import AS_OF, CITY_CTE, LOCATED_SQL, placed, query, sql_half_up,
 # --- craft market reports -------------------------------------------------------
 
 def _market(t):
-    """Order lines as a craft market: (fact, customers, craftsmen, products, hot keys)."""
+    """Order lines as a craft market: (fact, customers, craftsmen, products)."""
     status = F.when(F.col("o_orderstatus") == "F", "done").when(F.col("o_orderstatus") == "O", "in progress").otherwise("delivery")
     orders = t.orders.select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
@@ -28,9 +28,6 @@ def _market(t):
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("craftsman_id"), F.to_date("l_shipdate").alias("_shipped"))
-    # The customers of the lines are not known before the join; the orders stand in.
-    hot = hot_key_table(lines, ["product_id", "craftsman_id"])
-    hot["customer_id"] = hot_keys(orders, "customer_id")
     # An order in delivery has no completion date yet.
     fact = lines.join(orders, "order_id").withColumn(
         "order_completion_date", F.when(F.col("order_status") != "delivery", F.col("_shipped"))).drop("_shipped")
@@ -50,7 +47,7 @@ def _market(t):
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
         F.col("p_brand").alias("product_description"), F.col("p_type").alias("product_type"),
         money(F.col("p_retailprice")).alias("product_price"), F.lit("1995-01-01").cast("timestamp_ntz").alias("load_dttm"))
-    return fact, customers, craftsmen, products, hot
+    return fact, customers, craftsmen, products
 
 
 def _market_sql(owner, okey, ocol, oname, onation, otable, ostep, pcol, ptable, pkey, pstep, partner, with_partner):
@@ -90,24 +87,24 @@ CRAFTSMAN_SQL = _market_sql("craftsman", "s_suppkey", "l_suppkey", "s_name", "s_
 
 @query(CUSTOMER_SQL)
 def monthly_report(t):
-    fact, customers, craftsmen, products, hot = _market(t)
-    return reports.customer_report(fact, customers, craftsmen, products, AS_OF, hot)
+    fact, customers, craftsmen, products = _market(t)
+    return reports.customer_report(fact, customers, craftsmen, products, AS_OF)
 
 
 @query(CRAFTSMAN_SQL)
 def supplier_report(t):
-    fact, customers, craftsmen, products, hot = _market(t)
-    return reports.craftsman_report(fact, customers, craftsmen, products, AS_OF, hot)
+    fact, customers, craftsmen, products = _market(t)
+    return reports.craftsman_report(fact, customers, craftsmen, products, AS_OF)
 
 
 @query(CUSTOMER_SQL)
 def monthly_report_incremental(t):
-    fact, customers, craftsmen, products, hot = _market(t)
+    fact, customers, craftsmen, products = _market(t)
     mark = "2001-06-01"
     before = fact.filter(F.col("load_dttm") <= F.lit(mark).cast("timestamp_ntz"))
-    mart = reports.customer_report(before, customers, craftsmen, products, AS_OF, hot)
+    mart = reports.customer_report(before, customers, craftsmen, products, AS_OF)
     return reports.refresh_report(mart, reports.customer_report, fact, customers, craftsmen, products,
-                                  "customer_id", mark, AS_OF, hot)
+                                  "customer_id", mark, AS_OF)
 
 
 # --- sources and sales ------------------------------------------------------------
