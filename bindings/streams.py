@@ -25,7 +25,7 @@ from .registry import query
 
 def _stream(t, name: str) -> DataFrame:
     return t.spark.readStream.schema(getattr(t, name).schema).option("maxFilesPerTrigger", 1000).parquet(
-        f"{t.folder}/{name}.parquet*")
+        f"{t.folder}/{name}.parque[t]")  # a pattern, as the table may be one file
 
 
 def _root(t) -> str:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 import math
 
 from ..functions.geo import EARTH_KM, haversine, unit_vector
+from ..session import checkpointed
 
 BLOCK = 2_000
 
@@ -67,11 +68,9 @@ def pairs_within(df: DataFrame, groups: Sequence[str], member: str, lat: str, lo
     reach = 2 * math.sin(min(km / (2 * EARTH_KM), math.pi / 2)) * (1 + 1e-9)
     side = 2 * reach
     x, y, z = unit_vector(F.col("_lat"), F.col("_lon"))
-    base = (
-        df.select(*groups, F.col(member).alias("_m"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
-        .distinct()
-        .withColumns({"_x": x, "_y": y, "_z": z})
-    )
+    base = checkpointed(  # read by four branches
+        df.select(*groups, F.col(member).alias("_m"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct()
+    ).withColumns({"_x": x, "_y": y, "_z": z})
 
     def touched(axis: str) -> Column:
         low, high = F.floor((F.col(axis) - reach) / side), F.floor((F.col(axis) + reach) / side)
