@@ -1,3 +1,5 @@
+from itertools import islice
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,3 +56,24 @@ def test_schedule_keeps_the_weights(spark):
         mixing.schedule(docs, ["doc_id"], {**weights, "hot": 0.001}, block_chars=20)
     with pytest.raises(ValueError):
         mixing.schedule(docs, ["doc_id"], {"hot": 1.0})
+
+
+def test_a_tiny_source_beside_many_blocks():
+    blocks = {"": 1, "a": 500_000, **{f"s{i}": 52_632 for i in range(19)}}
+    shares = mixing.whole_shares({s: b**0.9 for s, b in blocks.items()}, 0)
+    assert all(p[2] <= p[4] < p[3] for p in islice(mixing.pfair(shares, blocks), 20_000))
+    blocks = {"": 1, "a": 1_500_000}
+    shares = mixing.whole_shares({s: b**0.9 for s, b in blocks.items()}, 0)
+    assert shares["a"] / shares[""] == pytest.approx(1_500_000**0.9, rel=1e-3)
+    many = {f"s{i}": 1 for i in range(300_000)}
+    assert sum(1 for _ in mixing.pfair(mixing.whole_shares(many, 0), many)) == 300_000
+
+
+def test_schedule_takes_a_source_under_four_millionths(spark):
+    docs = spark.createDataFrame([(0, "x", None), (1, "x" * 300_000, "a"), (2, "x", "a")],
+                                 "doc_id long, text string, source string")
+    weights = {"": 1.0, "a": 300_001.0}
+    joined, looked_up = [sorted(mixing.schedule(docs, ["doc_id"], weights, block_chars=1, broadcast_slots=n).select(
+        "row.*", "mix.*").collect()) for n in (0, 500_000)]
+    assert joined == looked_up and {r.doc_id for r in joined} == {0, 1, 2}
+    assert max(r.slot for r in joined) >= 300_000
