@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import islice
 
 import pyarrow as pa
@@ -16,7 +17,7 @@ from martloom.llm.shared import blank, shared_folder, stored
 
 BLOCK_CHARS = 20_000
 TEMPERATURE = 0.9
-LEAST_PERIOD, LEAST_SHARE = 10_000, 4e-6
+LEAST_SHARE = 4e-6
 MAX_SOURCES = 1_000_000  # one row each on the driver
 BROADCAST_SLOTS = 500_000  # about 50 MB; above that the rows meet their slots in a shuffle
 CHUNK = 100_000
@@ -25,20 +26,17 @@ PLACES = pa.schema([("key", pa.string()), *[(c, pa.int64()) for c in ("turn", "r
 
 
 def whole_shares(weights: dict[str, float], least_share: float = LEAST_SHARE) -> dict[str, int]:
-    """Blocks per period of each source, largest remainders first.  The period is so
-    long that the smallest weight is worth at least four blocks.  A weight under
+    """Whole numbers in exactly the proportions of the weights.  A weight under
     `least_share` of all is refused; with 0 none is."""
-    total = sum(weights.values())
     if not weights or min(weights.values()) <= 0:
         raise ValueError("every source needs a weight above zero")
-    if min(weights.values()) < least_share * total:
+    if min(weights.values()) < least_share * math.fsum(weights.values()):
         raise ValueError(f"the smallest weight is under {least_share} of all")
-    period = max(LEAST_PERIOD, math.ceil(4 * total / min(weights.values())))
-    exact = {s: period * w / total for s, w in weights.items()}
-    shares = {s: int(x) for s, x in exact.items()}
-    for s in sorted(weights, key=lambda s: (shares[s] - exact[s], s))[: period - sum(shares.values())]:
-        shares[s] += 1
-    return shares
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    unit = math.lcm(*{w.denominator for w in exact.values()})
+    shares = {s: int(w * unit) for s, w in exact.items()}
+    common = math.gcd(*shares.values())
+    return {s: n // common for s, n in shares.items()}
 
 
 def pfair(shares: dict[str, int], blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int]]:

@@ -1,3 +1,4 @@
+from fractions import Fraction
 from itertools import islice
 
 import pytest
@@ -64,7 +65,7 @@ def test_a_tiny_source_beside_many_blocks():
     assert all(p[2] <= p[4] < p[3] for p in islice(mixing.pfair(shares, blocks), 20_000))
     blocks = {"": 1, "a": 1_500_000}
     shares = mixing.whole_shares({s: b**0.9 for s, b in blocks.items()}, 0)
-    assert shares["a"] / shares[""] == pytest.approx(1_500_000**0.9, rel=1e-3)
+    assert shares["a"] / shares[""] == pytest.approx(1_500_000**0.9)
     many = {f"s{i}": 1 for i in range(300_000)}
     assert sum(1 for _ in mixing.pfair(mixing.whole_shares(many, 0), many)) == 300_000
 
@@ -77,3 +78,13 @@ def test_schedule_takes_a_source_under_four_millionths(spark):
         "row.*", "mix.*").collect()) for n in (0, 500_000)]
     assert joined == looked_up and {r.doc_id for r in joined} == {0, 1, 2}
     assert max(r.slot for r in joined) >= 300_000
+
+
+def test_a_long_run_stays_at_the_unrounded_weights():
+    blocks = {"hot": 100_000, **{f"s{i}": 10_526 for i in range(19)}}
+    weights = {s: b**0.9 for s, b in blocks.items()}
+    total = sum(map(Fraction, weights.values()))
+    run = dict.fromkeys(blocks, 0)
+    for source, _, _, _, slot in mixing.pfair(mixing.whole_shares(weights, 0), blocks):
+        run[source] += 1
+    assert slot > 300_000 and all(abs(run[s] - (slot + 1) * Fraction(w) / total) < 1 for s, w in weights.items())
