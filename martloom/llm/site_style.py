@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 from collections.abc import Iterator
@@ -46,6 +47,7 @@ HEADER_NAMES = frozenset("header masthead topbar".split())  # noise outside arti
 COMMENTS = frozenset("comment comments reply replies".split())
 MAIN_NAMES = frozenset("articlebody article-body post-content entry-content main-content article-content".split())
 OTHER, MAIN, ARTICLE = 0, 1, 2
+LEAST_PROSE = 200  # characters in paragraphs that make a form or a branch with a noise name text
 
 
 def _hash(text: str) -> int:
@@ -53,31 +55,57 @@ def _hash(text: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+class Noise:
+    """An element that looks like noise, the one around it, and what it holds.  `firm`
+    is noise in any case, `weak` may be text by its paragraphs."""
+
+    __slots__ = ("above", "level", "firm", "weak", "held", "prose", "links", "chars")
+
+    def __init__(self, above: Noise | None, level: int, firm: bool, weak: bool):
+        self.above, self.level, self.firm, self.weak = above, level, firm, weak
+        self.held, self.prose, self.links, self.chars = [0, 0, 0], 0, 0, 0
+
+    def chain(self) -> Iterator[Noise]:
+        at: Noise | None = self
+        while at:
+            yield at
+            at = at.above
+
+    def stays(self, top: int, total: int) -> bool:
+        """Whether it is none: it wraps most of the article, or is mostly paragraphs."""
+        wraps = top > self.level and 2 * self.held[top] > total
+        return not self.firm and (wraps or (self.weak and self.prose >= LEAST_PROSE and 2 * self.links < self.chars))
+
+
 class Node:
-    """An open element: its style path, whether it is noise, how near to the article it is,
-    and the styles of its children so far."""
+    """An open element: its style path, the nearest element around it that looks like noise, how
+    near to the article it is, whether it is in a paragraph or link, and the styles of its children so far."""
 
-    __slots__ = ("tag", "path", "noise", "level", "children")
+    __slots__ = ("tag", "path", "noise", "level", "prose", "link", "children")
 
-    def __init__(self, tag: str, path: str, noise: bool, level: int):
-        self.tag, self.path, self.noise, self.level, self.children = tag, path, noise, level, []
+    def __init__(self, tag: str, path: str, noise: Noise | None, level: int, prose: bool = False, link: bool = False):
+        self.tag, self.path, self.noise, self.level = tag, path, noise, level
+        self.prose, self.link, self.children = prose, link, []
 
 
 def _open(tag: str, attrs: str, parent: Node) -> Node:
     names = [value for found in ATTRIBUTE.findall(attrs) for value in "".join(found[1:]).split()] if attrs else []
     tokens = {t.lower() for name in names for t in TOKEN.findall(name)}
     lower = {name.lower() for name in names}
-    if tag in ("html", "body"):
-        noise = False
-    elif tag in ("article", "main"):
-        noise = bool(lower & COMMENTS)
-    else:
-        noise = tag in NOISE_TAGS or bool(tokens & NOISE_NAMES) or (
-            parent.level == OTHER and (tag == "header" or bool(tokens & HEADER_NAMES)))
+    by_tag = by_name = False
+    if tag in ("article", "main"):
+        by_name = bool(lower & COMMENTS)
+    elif tag not in ("html", "body"):
+        by_tag = tag in NOISE_TAGS or (parent.level == OTHER and tag == "header")
+        by_name = bool(tokens & NOISE_NAMES) or (parent.level == OTHER and bool(tokens & HEADER_NAMES))
     level = ARTICLE if tag == "article" or lower & MAIN_NAMES else MAIN if tag == "main" or "main" in lower else OTHER
     style = tag + "".join(f".{t}" for t in sorted(tokens))
     parent.children.append(style)
-    return Node(tag, f"{parent.path}>{style}", parent.noise or noise, max(level, parent.level))
+    noise = parent.noise
+    if by_tag or by_name:
+        noise = Noise(noise, max(parent.level, OTHER if by_tag else level), by_name and bool(lower & COMMENTS),
+                      tag == "form" or not by_tag)
+    return Node(tag, f"{parent.path}>{style}", noise, max(level, parent.level), parent.prose or tag == "p", parent.link or tag == "a")
 
 
 def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[Node]]:
@@ -85,18 +113,31 @@ def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[Node]]:
 
     Tags that are left open end where their container ends or a block may not contain
     the next one; character references are decoded; white space in a block becomes one space.
+    What looks like noise is judged at the end of the page, by what it holds.
     """
     page = page or ""
-    root = Node("", "", False, OTHER)
-    stack, blocks, nodes, text = [root], [], [], []
+    root = Node("", "", None, OTHER)
+    stack, found_blocks, nodes, text = [root], [], [], []
+    totals = [0, 0, 0]
 
     def flush() -> None:
         if text:
-            words = html.unescape("".join(text)).split()
+            owner = next(n for n in reversed(stack) if n.tag in BLOCKS or n is root)
+            found_blocks.append((owner, text.copy()))
             text.clear()
-            if words:
-                owner = next(n for n in reversed(stack) if n.tag in BLOCKS or n is root)
-                blocks.append((owner, " ".join(words)))
+
+    def add(node: Node, piece: str) -> None:
+        text.append((node.noise, piece))
+        chars = len(piece.strip())
+        if not node.noise:
+            totals[node.level] += chars
+        elif chars and not any(n.firm for n in node.noise.chain()):
+            totals[node.level] += chars
+            for n in node.noise.chain():
+                n.held[node.level] += chars
+                n.chars += chars
+                n.links += chars * node.link
+                n.prose += chars * (node.prose and not node.link)
 
     def close(index: int) -> None:
         if any(n.tag in BLOCKS for n in stack[index:]):
@@ -107,8 +148,8 @@ def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[Node]]:
     while True:
         found = MARKUP.search(page, at)
         end = found.start() if found else len(page)
-        if end > at and not stack[-1].noise:
-            text.append(page[at:end])
+        if end > at:
+            add(stack[-1], page[at:end])
         if not found:
             break
         at = found.end()
@@ -145,15 +186,26 @@ def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[Node]]:
                     break
         if tag in BLOCKS:
             flush()
-        elif tag == "br" and not stack[-1].noise:
-            text.append(" ")
+        elif tag == "br":
+            add(stack[-1], " ")
         if tag not in VOID:
             node = _open(tag, found["attrs"] or found["attrs2"] or "", stack[-1])
             stack.append(node)
-            if tag in BLOCKS and not node.noise:
+            if tag in BLOCKS:
                 nodes.append(node)
     flush()
-    return blocks, nodes
+    top = max((level for level in (OTHER, MAIN, ARTICLE) if totals[level]), default=OTHER)
+
+    @functools.cache
+    def is_noise(noise: Noise | None) -> bool:
+        return noise is not None and (not noise.stays(top, totals[top]) or is_noise(noise.above))
+
+    blocks = []
+    for owner, pieces in found_blocks:
+        words = html.unescape("".join(piece for noise, piece in pieces if not is_noise(noise))).split()
+        if words:
+            blocks.append((owner, " ".join(words)))
+    return blocks, [node for node in nodes if not is_noise(node.noise)]
 
 
 def page_styles(page: str | None) -> list[tuple[int, int, bool]]:

@@ -53,6 +53,27 @@ def test_broken_pages(page, text):
     assert site_style.main_text(page) == text
 
 
+PROSE = "A paragraph of some length that is a part of the article and not of its surroundings. " * 4
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<form>", "<div class='layout no-sidebar'>", "<div id=menu-wrapper>", "<div class='has-comments'>", "<aside>", "<head>"])
+def test_wrappers_of_the_article_are_no_noise(wrapper):
+    page = f"<body>{wrapper}<nav>Menu</nav><div class=ad>Buy</div><article><p>Text of it</p></article><label>Mail</label>"
+    assert site_style.main_text(page) == "Text of it"
+    beside = f"<article><p>{PROSE}</p></article>{wrapper}<article><p>Teaser</p></article></div>"
+    assert site_style.main_text(beside) == PROSE.strip()
+
+
+@pytest.mark.parametrize("name", ["related-work", "share-prices"])
+def test_paragraphs_under_a_noise_name_stay(name):
+    links = f"<div class=related><p><a href=x>{PROSE}</a></p></div>"
+    page = f"<article><p>One</p><section class={name}><p>{PROSE}</p></section>{links}<div class=share>Send</div>"
+    assert site_style.main_text(page) == f"One {PROSE.strip()}"
+    assert site_style.main_text(f"<form><p>{PROSE}</p><label>Mail</label></form>") == PROSE.strip()
+    assert site_style.main_text(f"<article>A</article><div class=comments><article>{PROSE}</article></div>") == "A"
+
+
 def test_branches_that_repeat_on_a_host_go(spark, monkeypatch):
     rows = [(i, f"http://h.net/{i}", f"<body><div class=top>Always the same</div><div class=body>Text number {i}</div></body>")
             for i in range(40)] + [(100, "http://one.net/", "<div class=top>Always the same</div>"), (101, None, None), (101, None, None),
