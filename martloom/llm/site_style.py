@@ -224,11 +224,14 @@ def page_styles(page: str | None) -> list[tuple[int, int, bool]]:
 
 
 def main_text(page: str | None, low: frozenset[int] | set[int] = frozenset()) -> str:
-    """The article's blocks joined by one space.  Without an article the main element's, without
-    both all blocks of branches that are not in `low`."""
+    """The blocks of the article, without one of the main element, without both of the page, joined by
+    one space; all but those of branches in `low`.  An article that is for the most part in `low` stays whole."""
     blocks, _ = parse(page)
     level = max((node.level for node, _ in blocks), default=OTHER)
-    return " ".join(text for node, text in blocks if node.level == level and (level or _hash(node.path) not in low))
+    near = [(text, _hash(node.path) in low) for node, text in blocks if node.level == level]
+    if level and 2 * sum(len(text) for text, is_low in near if is_low) >= sum(len(text) for text, _ in near):
+        return " ".join(text for text, _ in near)
+    return " ".join(text for text, is_low in near if not is_low)
 
 
 def low_branches(
@@ -283,9 +286,7 @@ def _extract_by_join(pages: DataFrame, low: DataFrame) -> DataFrame:
         for rows in batches:
             out = []
             for host, digest, page in zip(rows["host"], rows["digest"], rows["html"]):
-                owners = [node for node, _ in parse(page)[0]]
-                if max((node.level for node in owners), default=OTHER) == OTHER:
-                    out += [(host, digest, path) for path in {_hash(node.path) for node in owners}]
+                out += [(host, digest, path) for path in {_hash(node.path) for node, _ in parse(page)[0]}]
             yield pd.DataFrame(out, columns=["host", "digest", "path"])
 
     @F.pandas_udf("string")
@@ -305,9 +306,10 @@ def extract(
     """One row per row of pages: page_id, url, text, n_chars.
 
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-    comments are noise by element, class, id or role; of what is left the article (else
-    the main element) is the text, and on pages without either, the branches of some
-    importance in the style tree of their host.  Null and empty html give empty text.
+    comments are noise by element, class, id or role, unless they wrap the article or are
+    mostly paragraphs.  Of what is left the article (else the main element, else the page)
+    is the text, without its branches of little importance in the style tree of the host.
+    Null and empty html give empty text.
     A short list of low branches is broadcast; a longer one is joined by host and path.
     """
     low = stored(low_branches(pages, least_pages, least_importance), "low-branches")

@@ -92,3 +92,13 @@ def test_articles_stay_however_often_they_repeat(spark):
     pages = spark.createDataFrame([(i, "http://h.net/", "<article><p>Same text</p></article>") for i in range(30)],
                                   "page_id long, url string, html string")
     assert {r.text for r in site_style.extract(pages).collect()} == {"Same text"}
+
+
+@pytest.mark.parametrize("broadcast", [0, 200_000])
+def test_what_repeats_inside_articles_goes(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(site_style, "BROADCAST_BRANCHES", broadcast)
+    page = "<article><div class=related><p>{0}</p></div><p>{1}</p><div class=box>Read the full story</div></article>"
+    pages = spark.createDataFrame([(i, "http://h.net/", page.format(PROSE, f"{PROSE} number {i} " * 2)) for i in range(40)] + [
+        (99, "http://h.net/", page.format("", "A"))], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in site_style.extract(pages).collect()}
+    assert got == {**{i: " ".join(f"{PROSE} number {i} ".split() * 2) for i in range(40)}, 99: "A Read the full story"}
