@@ -12,8 +12,10 @@ LEAST_LITERALS = 4  # words of a window that are no placeholders
 LEAST_WORDS = 12  # words of an item that a document must repeat in line, or the whole item
 BROADCAST_WINDOWS = 500_000  # about 20 MB; above that the windows meet in a shuffle
 NUMBER, NAME, UNIT = "#number", "#name", "#unit"  # no word has a #
-# Words, numbers, and the marks that end a sentence.
-TOKEN = r"[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*|[.!?]+"
+LEAST_SHORT = 4  # words of an item shorter than a window that is looked for as a whole
+# Words, numbers, and the marks after which a sentence, a line or a quotation starts.
+MARKS = list(".!?:\n\"([{\u201c\u201d\u201e\u00ab\u00bb")
+TOKEN = r"[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*|[.!?:\n\"(\[{\u201c\u201d\u201e\u00ab\u00bb]+"
 NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
     "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion").split()
@@ -32,7 +34,7 @@ def tokens(text: Column) -> Column:
 
 
 def _is_mark(token: Column) -> Column:
-    return token.startswith(".") | token.startswith("!") | token.startswith("?")
+    return F.substring(token, 1, 1).isin(MARKS)
 
 
 def words(found: Column) -> Column:
@@ -61,10 +63,33 @@ def canonical(found: Column) -> Column:
     return F.filter(F.transform(found, one), lambda w: w.isNotNull())
 
 
-def _windows(template: Column, window: int) -> Column:
-    """A hash for each window of the template."""
-    return F.when(F.size(template) >= window, F.transform(
-        F.sequence(F.lit(1), F.size(template) - window + 1), lambda i: F.xxhash64(F.slice(template, i, window))))
+def lowered(found: Column) -> Column:
+    """The words and numbers among tokens in lower case."""
+    return F.transform(words(found), F.lower)
+
+
+def _hashed(of: Column, at: Column, width: int, literal: bool) -> Column:
+    return F.struct(at.alias("at"), F.lit(width).alias("width"), F.xxhash64(F.slice(of, at + 1, width)).alias("hash"),
+                    F.lit(literal).alias("literal"))
+
+
+def _windows(template: Column, low: Column, window: int, short: list[int] = []) -> Column:
+    """(at, width, hash, literal) of each window of the template, of the words themselves where a
+    window has placeholders, and of the words of windows of the widths `short`."""
+    n = F.size(template)
+    none = F.array().cast("array<struct<at:int,width:int,hash:bigint,literal:boolean>>")
+    slots = F.filter(F.transform(template, lambda w, i: F.when(w.startswith("#"), i)), lambda i: i.isNotNull())
+    changed = F.array_distinct(F.flatten(F.transform(
+        slots, lambda p: F.sequence(F.greatest(p - window + 1, F.lit(0)), F.least(p, n - window)))))
+
+    def all_of(of: Column, width: int, literal: bool) -> Column:
+        return F.transform(F.sequence(F.lit(0), n - width), lambda i: _hashed(of, i, width, literal))
+
+    parts = [F.when(n >= window, F.concat(
+        all_of(template, window, False),
+        F.transform(changed, lambda i: _hashed(low, i, window, True)))).otherwise(none)]
+    parts += [F.when(n >= width, all_of(low, width, True)).otherwise(none) for width in short]
+    return F.concat(*parts)
 
 
 def _literals(template: Column) -> Column:
@@ -88,41 +113,49 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, leas
     """One row per row key of docs and benchmark item found in it: id, digest, item_id,
     matched_words, changed (slots that differ).
 
-    Both texts become templates; windows of `window` words are joined by hash.  Windows
-    in line with each other (same distance between their places) are one candidate, and
-    word by word comparison of the two texts along it counts the words that agree.
+    Both texts become templates; windows of `window` words are joined by hash, those of the
+    templates and those of the words in lower case.  Windows in line with each other (same
+    distance between their places) are one candidate, and word by word comparison of
+    the two texts along it counts the words that agree.
     The candidate holds if these are `least_words` or the whole item, and the
     values in the slots map one to one: a question with other numbers or names is found, a
-    text that only has the same form is not.  Items shorter than a window, and windows with
-    fewer than four literal words, say too little and find nothing.
+    text that only has the same form is not.  An item shorter than a window is found where
+    all its words follow each other; of fewer than four words it says too little and finds
+    nothing, as do template windows with fewer than four literal words.
     """
     items = benchmark.groupBy(blank(F.col("text")).alias("text")).agg(F.min("item_id").alias("item_id")).select(
         F.xxhash64("text").alias("item"), "item_id", tokens(F.col("text")).alias("found")).select(
-        "item", "item_id", words(F.col("found")).alias("item_words"), canonical(F.col("found")).alias("item_template"))
+        "item", "item_id", lowered(F.col("found")).alias("item_words"), canonical(F.col("found")).alias("item_template"))
     items = stored(items, "items")
-    item_windows = stored(items.filter(F.size("item_template") >= window).select(
-        "item", "item_template", F.posexplode(_windows(F.col("item_template"), window)).alias("item_at", "hash"),
-    ).filter(_literals(F.slice(F.col("item_template"), F.col("item_at") + 1, F.lit(window))) >= LEAST_LITERALS).select(
-        "hash", "item", "item_at"), "item-windows")
+    size = F.size("item_words")
+    short = sorted(r["n"] for r in items.select(size.alias("n")).filter(
+        F.col("n").between(LEAST_SHORT, window - 1)).distinct().collect())
+    found_in = F.explode(_windows(F.col("item_template"), F.col("item_words"), window, short)).alias("w")
+    item_windows = stored(items.select("item", "item_template", size.alias("n"), found_in).filter(
+        F.when(F.col("n") < window, F.col("w.width") == F.col("n")).otherwise((F.col("w.width") == window) & (
+            F.col("w.literal") | (_literals(F.slice(F.col("item_template"), F.col("w.at") + 1, F.lit(window))) >= LEAST_LITERALS)))
+    ).select("w.hash", "item", F.col("w.at").alias("item_at"), (F.col("w.at") + F.col("w.width") - 1).alias("item_end")), "item-windows")
     few = up_to(item_windows, BROADCAST_WINDOWS)
     keyed = _keyed(docs)
     templates = keyed.select("id", "digest", tokens(F.col("text")).alias("found")).select(
-        "id", "digest", canonical(F.col("found")).alias("template"))
-    windows = templates.select("id", "digest", F.posexplode(_windows(F.col("template"), window)).alias("at", "hash"))
+        "id", "digest", canonical(F.col("found")).alias("template"), lowered(F.col("found")).alias("words"))
+    windows = templates.select("id", "digest", F.explode(
+        _windows(F.col("template"), F.col("words"), window, short)).alias("w")).select("id", "digest", "w.at", "w.hash")
     met = windows.join(F.broadcast(item_windows) if few else item_windows, "hash")
     lines = stored(met.groupBy("id", "digest", "item", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.min("item_at").alias("first"), F.max("item_at").alias("last")), "lines")
+        F.min("item_at").alias("first"), F.max("item_end").alias("last")), "lines")
     named = lines.join(items, "item")
     texts = keyed.join(lines.select("id", "digest").distinct(), ["id", "digest"], "left_semi").dropDuplicates(
         ["id", "digest"]).select("id", "digest", tokens(F.col("text")).alias("found")).select(
-        "id", "digest", words(F.col("found")).alias("words"), canonical(F.col("found")).alias("template"))
+        "id", "digest", lowered(F.col("found")).alias("words"), canonical(F.col("found")).alias("template"))
     both = texts.join(named, ["id", "digest"]).withColumn("places", F.filter(
-        F.sequence(F.col("first"), F.col("last") + window - 1),
-        lambda p: F.get("item_template", p) == F.get("template", p + F.col("shift"))))
+        F.sequence("first", "last"),
+        lambda p: (F.get("item_template", p) == F.get("template", p + F.col("shift")))
+        | (F.get("item_words", p) == F.get("words", p + F.col("shift")))))
     slots = F.transform(
-        F.filter("places", lambda p: F.get("item_template", p).startswith("#")),
-        lambda p: F.struct(F.lower(F.get("words", p + F.col("shift"))).alias("of_doc"),
-                           F.lower(F.get("item_words", p)).alias("of_item")))
+        F.filter("places", lambda p: F.get("item_template", p).startswith("#") & (
+            F.get("item_template", p) == F.get("template", p + F.col("shift")))),
+        lambda p: F.struct(F.get("words", p + F.col("shift")).alias("of_doc"), F.get("item_words", p).alias("of_item")))
     held = both.withColumns({"slots": slots, "matched_words": F.size("places")}).filter(
         (F.col("matched_words") >= F.least(F.lit(least_words), F.size("item_template"))) & _consistent(F.col("slots")))
     return held.withColumn("changed", F.size(F.filter("slots", lambda s: s["of_doc"] != s["of_item"]))).groupBy(

@@ -35,6 +35,22 @@ def test_templates_and_slots(spark, monkeypatch, text, hit, broadcast):
     assert (row["contaminated"], row["item_id"]) == (hit, 0 if hit else None)
 
 
+@pytest.mark.parametrize("item, text", [
+    ("Bright lanterns hang above the old stone bridge", "Question: {}"),
+    ("Bright lanterns hang above the old stone bridge near our harbour", "as before\n{}"),
+    ("Bright lanterns hang above the old stone bridge near our quiet little harbour", "see \u201c{}\u201d and (more"),
+    ("It rains. Birds rest. Cats sleep. Dogs bark. We wait inside", "so it rains birds rest cats sleep dogs bark we wait inside"),
+    ("Then we meet Anna and Peter and Omar and Maria at noon", "THEN We Meet Anna And Peter And Omar And Maria At Noon"),
+    ("What is 17 times 23?", "He asked: what is 17 times 23"),
+    ("12 14 17 23 39 41 52 60 75", "sums of 12, 14, 17, 23, 39, 41, 52, 60, 75 and so on"),
+    ("Anna Peter Omar Maria Jonas Lena Igor Paul Olga", "Those were Anna Peter Omar Maria Jonas Lena Igor Paul Olga then")])
+def test_exact_copies_after_marks_and_in_other_case(spark, item, text):
+    docs = spark.createDataFrame([(1, text.format(item)), (2, "What is 17 times 24? " + " ".join(item.split()[1:7]))],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r.contaminated for r in decontamination.contamination(docs, benchmark(spark, item, "a b")).collect()}
+    assert got == {1: True, 2: False}
+
+
 def test_decontamination_of_odd_tables(spark):
     docs = odd_documents(spark)
     items = benchmark(spark, "lorem ipsum dolor " * 6, ITEM, ITEM)
