@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,11 +98,30 @@ def _literals(template: Column) -> Column:
     return F.size(F.filter(template, lambda w: ~w.startswith("#")))
 
 
-def _consistent(pairs: Column) -> Column:
-    """Whether the values of slots map one to one."""
-    n = F.size(F.array_distinct(pairs))
-    return (n == F.size(F.array_distinct(F.transform(pairs, lambda p: p["of_doc"])))) & (
-        n == F.size(F.array_distinct(F.transform(pairs, lambda p: p["of_item"]))))
+def _fits(pairs: Column, run: Column, least_words: int) -> Column:
+    """Whether the values of slots fit a text made from the item: names and units map one to
+    one and at least half of the different pairs of numbers do.  A run of `least_words` words that are the
+    same settles it for numbers, one of twice as many for all."""
+
+    def counts(of: Column) -> list[Column]:
+        return [F.size(F.array_distinct(x)) for x in (
+            of, F.transform(of, lambda p: p["of_doc"]), F.transform(of, lambda p: p["of_item"]))]
+
+    n, doc, item = counts(F.filter(pairs, lambda p: p["kind"] == NUMBER))
+    all_names, doc_names, item_names = counts(F.filter(pairs, lambda p: p["kind"] != NUMBER))
+    numbers = (2 * F.least(doc, item) >= n) | (run >= least_words)
+    return (numbers & (all_names == doc_names) & (all_names == item_names)) | (run >= 2 * least_words)
+
+
+def _longest_run(first: Column, last: Column, same: Callable[[Column], Column]) -> Column:
+    """The most places in a row for which `same` holds."""
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(state: Column, place: Column) -> Column:
+        now = F.when(same(place), state["now"] + 1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    return F.aggregate(F.sequence(first, last), zero, step, lambda state: state["most"])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -118,7 +139,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, leas
     distance between their places) are one candidate, and word by word comparison of
     the two texts along it counts the words that agree.
     The candidate holds if these are `least_words` or the whole item, and the
-    values in the slots map one to one: a question with other numbers or names is found, a
+    values in the slots fit: a question with other numbers or names is found, a
     text that only has the same form is not.  An item shorter than a window is found where
     all its words follow each other; of fewer than four words it says too little and finds
     nothing, as do template windows with fewer than four literal words.
@@ -155,9 +176,13 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, leas
     slots = F.transform(
         F.filter("places", lambda p: F.get("item_template", p).startswith("#") & (
             F.get("item_template", p) == F.get("template", p + F.col("shift")))),
-        lambda p: F.struct(F.get("words", p + F.col("shift")).alias("of_doc"), F.get("item_words", p).alias("of_item")))
-    held = both.withColumns({"slots": slots, "matched_words": F.size("places")}).filter(
-        (F.col("matched_words") >= F.least(F.lit(least_words), F.size("item_template"))) & _consistent(F.col("slots")))
+        lambda p: F.struct(F.get("words", p + F.col("shift")).alias("of_doc"), F.get("item_words", p).alias("of_item"),
+                           F.get("item_template", p).alias("kind")))
+    run = _longest_run(F.col("first"), F.col("last"), lambda p: F.coalesce(
+        F.get("item_words", p) == F.get("words", p + F.col("shift")), F.lit(False)))
+    held = both.withColumns({"slots": slots, "matched_words": F.size("places"), "run": run}).filter(
+        (F.col("matched_words") >= F.least(F.lit(least_words), F.size("item_template"))) & _fits(
+            F.col("slots"), F.col("run"), least_words))
     return held.withColumn("changed", F.size(F.filter("slots", lambda s: s["of_doc"] != s["of_item"]))).groupBy(
         "id", "digest", "item_id").agg(F.max("matched_words").alias("matched_words"), F.min("changed").alias("changed"))
 

@@ -51,6 +51,20 @@ def test_exact_copies_after_marks_and_in_other_case(spark, item, text):
     assert got == {1: True, 2: False}
 
 
+LONG_COPY = " ".join(f"word{chr(97 + i)} other{chr(97 + i)}" for i in range(26))
+PEARS = "Our cook takes 3 apples and 5 pears out of this basket then bakes one cake for every guest"
+
+
+@pytest.mark.parametrize("item, text, hit", [
+    (f"In 2019 {LONG_COPY} again 2019 ends", f"In 2019 {LONG_COPY} again 2020 ends", True),
+    (f"Today Anna {LONG_COPY} as Peter left", f"Today Anna {LONG_COPY} as Anna left", True),
+    (PEARS, PEARS.replace("3", "4").replace("5", "4"), True), (PEARS.replace("5", "3"), PEARS, True),
+    (PEARS.replace("Our", "Then Anna tells Omar that"), PEARS.replace("Our", "Then Lena tells Lena that"), False)])
+def test_slots_that_do_not_map_one_to_one(spark, item, text, hit):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert decontamination.contamination(docs, benchmark(spark, item)).first()["contaminated"] == hit
+
+
 def test_decontamination_of_odd_tables(spark):
     docs = odd_documents(spark)
     items = benchmark(spark, "lorem ipsum dolor " * 6, ITEM, ITEM)
