@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import (
-    decontamination, exact_dedup, mixing, quality, simhash, site_style, token_counts, token_files, toxicity, url_filter,
+    decontamination, exact_dedup, mixing, phrases, quality, simhash, site_style, token_counts, token_files, toxicity,
+    url_filter,
 )
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -65,6 +66,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -74,6 +79,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality, op2_mixing, op3_token_counts, op4_decontamination, op5_html_text, op6_simhash, op7_token_files,
-        op8_url_filter, op9_exact_dedup, op10_toxicity, pipeline)
+        op8_url_filter, op9_exact_dedup, op10_toxicity, op11_phrases, pipeline)
 }
-ORACLES = {"op8_url_filter": url_filter.oracle(), "op9_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op8_url_filter": url_filter.oracle(), "op9_exact_dedup": exact_dedup.ORACLE,
+           "op11_phrases": phrases.ORACLE}
