@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import (
-    decontamination, exact_dedup, mixing, phrases, quality, simhash, site_style, token_counts, token_files, toxicity,
-    url_filter,
+    decontamination, exact_dedup, language, mixing, phrases, prefix_trie, quality, simhash, site_style, token_counts,
+    token_files, toxicity, url_filter,
 )
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -70,6 +70,15 @@ def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(_table(spark, folder, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
+def op13_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,7 +88,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality, op2_mixing, op3_token_counts, op4_decontamination, op5_html_text, op6_simhash, op7_token_files,
-        op8_url_filter, op9_exact_dedup, op10_toxicity, op11_phrases, pipeline)
+        op8_url_filter, op9_exact_dedup, op10_toxicity, op11_phrases, op12_prefix_trie,
+        op13_language, pipeline)
 }
 ORACLES = {"op8_url_filter": url_filter.oracle(), "op9_exact_dedup": exact_dedup.ORACLE,
-           "op11_phrases": phrases.ORACLE}
+           "op11_phrases": phrases.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE}
