@@ -47,3 +47,28 @@ def last_seen(parts: DataFrame, order: Sequence[str], values: Mapping[str, Colum
     rows = parts.select("*", *[F.last(v, ignorenulls=True).over(inside).alias(k) for k, v in values.items()])
     return rows.join(F.broadcast(edges), PART).withColumns(
         {k: F.coalesce(k, f"_{k}") for k in values}).drop(*[f"_{k}" for k in values])
+
+
+def running(parts: DataFrame, key: Sequence[str], order: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
+    """For each output the sum over the rows of the same key up to the row.
+
+    `order` begins with the key; `parts` comes from `in_ranges` with that order.  Only
+    the first key of a partition can have rows before it, and those stand at the ends of
+    the partitions before.  Null keys are a key.
+    """
+    key, order = list(key), list(order)
+    inside = Window.partitionBy(PART, *key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = parts.select("*", *[F.sum(v).over(inside).alias(k) for k, v in sums.items()])
+    ends = rows.groupBy(PART).agg(
+        F.min(F.struct(*key)).alias("_first"),
+        F.max_by(F.struct(F.struct(*key).alias("_key"), *sums), F.struct(*order)).alias("_end"))
+    # The sums at a partition's end go to later partitions that begin with the same key.
+    given = ends.select(F.col("_end._key").alias("_key"), PART, F.lit(1).alias("_kind"), *[f"_end.{k}" for k in sums])
+    asked = ends.select(F.col("_first").alias("_key"), PART, F.lit(0).alias("_kind"))
+    earlier = Window.partitionBy("_key").orderBy(PART, "_kind").rowsBetween(Window.unboundedPreceding, -1)
+    carry = given.unionByName(asked, allowMissingColumns=True).select(
+        PART, "_key", "_kind", *[F.sum(k).over(earlier).alias(f"_{k}") for k in sums]).filter("_kind = 0").drop("_kind")
+    at = F.struct(*key).eqNullSafe(F.col("_key"))
+    return rows.join(F.broadcast(carry), PART).withColumns(
+        {k: F.col(k) + F.when(at, F.coalesce(f"_{k}", F.lit(0))).otherwise(0) for k in sums}).drop(
+        "_key", *[f"_{k}" for k in sums])
