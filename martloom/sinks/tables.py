@@ -6,12 +6,15 @@ pointer file, so readers see either the old or the new state.  One writer per ta
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
+
 
 def write_table(
     df: DataFrame,
@@ -47,6 +50,20 @@ def write_bucketed(df: DataFrame, table: str, key: str | Sequence[str], buckets:
     writer.saveAsTable(table)
 
 
+def bucketed_pair(left: DataFrame, right: DataFrame, key: str, root: str, buckets: int | None = None) -> DataFrame:
+    """Inner join of two frames over tables bucketed and sorted on its key under `root`:
+    neither side is shuffled.  The tables stay in the catalog, for further
+    joins, as `b_<folder>_left` and `_right`."""
+    spark = left.sparkSession
+    buckets = buckets or shuffle_partitions(spark)
+    name = "b_" + re.sub(r"\W", "_", root.rstrip("/").rpartition("/")[2])
+    for side, df in (("left", left), ("right", right)):
+        # One task writes one bucket, so a bucket is one file and its order is kept.
+        df.repartition(buckets, key).write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key).option(
+            "path", f"{root}/{side}").saveAsTable(f"{name}_{side}")
+    return spark.table(f"{name}_left").hint("merge").join(spark.table(f"{name}_right"), key)
+
+
 def replace_slice(df: DataFrame, path: str, part_col: str, day: str | None = None) -> None:
     """Replace the partitions that df holds, or exactly `day`, which is empty afterwards
     if df has no row of it; the others stay."""

@@ -46,6 +46,24 @@ def test_increments_of_one_folder_drift(spark, tmp_path):
     assert rows(got) == [("a", 3, "shipped", 20.0), ("b", 5, "refunded", 40.0), ("c", 6, "shipped", 50.0), ("status", 4, "shipped", 30.0)]
 
 
+def test_no_file_of_an_increment_is_lost(spark, tmp_path):
+    fields = {"uniq_id": "string", "city": "string", "amount": "int"}
+    _write(f"{tmp_path}/in/1.csv", "a,b,c,d,city,amount,id\n1,2,3,4,Perth,7,x\n")  # mostly unknown names
+    _write(f"{tmp_path}/in/2.csv", '\ufeffamount,"uniq_id"\n8,"u,2"\n9,u3\n')
+    _write(f"{tmp_path}/in/3.csv", "uniq_id,city,amount\n")  # a header only
+    _write(f"{tmp_path}/in/4.csv", "")
+    got = files.read_increment(spark, f"{tmp_path}/in", fields, defaults={"city": "?"})
+    assert rows(got) == [("u,2", "?", 8), ("u3", "?", 9), (None, "Perth", 7)]
+    _write(f"{tmp_path}/in/5.csv", "uniq_id;city;amount\nv;w;1\n")
+    with pytest.raises(ValueError, match="5.csv"):
+        files.read_increment(spark, f"{tmp_path}/in", fields)
+    assert rows(files.read_increment(spark, f"{tmp_path}/in/5.csv", fields, sep=";")) == [("v", "w", 1)]
+
+
+def test_day_file():
+    assert files.day_file("s3a://bucket/%Y/%m/group_log-%Y-%m-%d.csv", "2024-03-09") == "s3a://bucket/2024/03/group_log-2024-03-09.csv"
+
+
 def test_responses_land_as_text(spark, tmp_path):
     files.land_raw_text(frame(spark, "category string, body string", ("people", "{}"), ("films", "[1]")), f"{tmp_path}/raw")
     assert rows(spark.read.text(f"{tmp_path}/raw"), "category", "value") == [("films", "[1]"), ("people", "{}")]
@@ -161,3 +179,13 @@ def test_jdbc_in_process(spark, tmp_path):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         streams.read_stream_kafka(spark, {"kafka.bootstrap.servers": "none", "subscribe": "t"})
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    left = spark.range(1000).select((F.col("id") % 97).alias("k"), "id")
+    right = spark.range(97).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = tables.bucketed_pair(left, right, "k", f"{tmp_path}/pair-1", 4)
+    assert "Exchange" not in plan(joined)
+    assert "SortMergeJoin" in plan(joined)
+    assert rows(joined.groupBy().agg(F.sum("v"))) == rows(left.join(right, "k").groupBy().agg(F.sum("v")))
+    assert len(glob.glob(f"{tmp_path}/pair-1/left/*.parquet")) <= 4
