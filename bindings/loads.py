@@ -9,8 +9,10 @@ from martloom.functions.money import money
 from martloom.operators import merge, vault
 from martloom.operators.windows import top_n
 from martloom.plans import dealership, sales, star
+from martloom.sinks import parted
 
 from .registry import query
+from .streams import _root
 
 _T1, _T2 = "2020-01-01", "2021-01-01"
 
@@ -58,6 +60,50 @@ def merge_fact(t):
     return star.merge_fact(top_n(old, _LINE, ["price"], 1), new, _LINE)
 
 
+_UNIQUE = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, min(l_extendedprice) AS price
+  FROM lineitem, (SELECT max(l_orderkey) AS top FROM lineitem) WHERE {} GROUP BY ALL"""
+
+
+@query(f"""
+WITH l AS ({_UNIQUE.format('l_orderkey * 20 <= top * 19')}), s AS ({_UNIQUE.format('l_orderkey * 10 >= top * 9')})
+SELECT coalesce(s.l_orderkey, l.l_orderkey) AS l_orderkey, coalesce(s.l_partkey, l.l_partkey) AS l_partkey,
+  coalesce(s.l_suppkey, l.l_suppkey) AS l_suppkey, coalesce(s.l_linenumber, l.l_linenumber)::BIGINT AS l_linenumber,
+  coalesce(s.price * 2, l.price) AS price,
+  CASE WHEN s.l_orderkey IS NULL THEN '{_T1} 00:00:00' ELSE '{_T2} 00:00:00' END AS load_dttm
+FROM l FULL JOIN s ON s.l_orderkey = l.l_orderkey AND s.l_partkey = l.l_partkey AND s.l_suppkey = l.l_suppkey
+  AND s.l_linenumber = l.l_linenumber""")
+def merge_fact_touched(t):
+    """Stored by ranges of the order: all but the newest twentieth of the orders.  Increment: the
+    newest tenth, at twice the price.  Only the parts of that tenth are read and replaced."""
+    lines = t.lineitem.groupBy(*_LINE).agg(F.min("l_extendedprice").alias("price"))
+    top = t.lineitem.agg(F.max("l_orderkey")).first()[0] or 0
+    part, path = parted.by_range("l_orderkey", top // 64 + 1), f"{_root(t)}/fact"
+    old = lines.filter(F.col("l_orderkey") * 20 <= top * 19).withColumn("load_dttm", _at(_T1))
+    new = lines.filter(F.col("l_orderkey") * 10 >= top * 9).withColumns({"price": F.col("price") * 2, "load_dttm": _at(_T2)})
+    parted.write_parted(old, path, part)
+    parted.merge_into(path, new, _LINE, part, check=False)
+    return t.spark.read.parquet(path).drop(parted.PART)
+
+
+@query(f"""
+WITH top AS (SELECT max(c_custkey) AS top FROM customer)
+SELECT c_custkey, c_name, CASE WHEN c_custkey * 5 >= top * 4 THEN lower(c_mktsegment) ELSE c_mktsegment END AS segment,
+  c_acctbal AS balance, '{_T1} 00:00:00' AS load_dttm FROM customer, top WHERE c_custkey * 10 < top * 9
+UNION ALL SELECT c_custkey, c_name, lower(c_mktsegment), c_acctbal + 1, '{_T2} 00:00:00' FROM customer, top
+  WHERE c_custkey * 10 >= top * 9""")
+def merge_dimension_touched(t):
+    """Stored: customers but the newest tenth.  Increment: the newest fifth, of which known ones
+    take a new segment and keep their balance and load time."""
+    top = t.customer.agg(F.max("c_custkey")).first()[0] or 0
+    rows = t.customer.select("c_custkey", "c_name", F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
+    part, path = parted.by_range("c_custkey", top // 32 + 1), f"{_root(t)}/customers"
+    parted.write_parted(rows.filter(F.col("c_custkey") * 10 < top * 9).withColumn("load_dttm", _at(_T1)), path, part)
+    new = rows.filter(F.col("c_custkey") * 5 >= top * 4).withColumns(
+        {"segment": F.lower("segment"), "balance": F.col("balance") + 1, "load_dttm": _at(_T2)})
+    parted.merge_into(path, new, ["c_custkey"], part, update_cols=["segment"])
+    return t.spark.read.parquet(path).drop(parted.PART)
+
+
 @query("""
 WITH a AS (SELECT p_name, min(p_partkey) AS p_partkey FROM part WHERE p_size <= 5 GROUP BY 1)
 SELECT p_name, p_partkey, 'stored' AS origin FROM a

@@ -9,11 +9,13 @@ from martloom.functions.money import money
 from martloom.operators.nearest import city_rows, nearest
 from martloom.operators.skew import skew_join
 from martloom.functions.geo import CITIES
-from martloom.plans import conversion, counters, currency, geography, reports, sales
+from martloom.plans import conversion, counters, currency, geography, report_store, reports, sales
 from martloom.plans import ledger as courier
 from martloom.plans.star import unify_sources as unify
+from martloom.session import checkpointed
 
 from .registry import AS_OF, CITY_CTE, LOCATED_SQL, placed, query, sql_half_up, sql_haversine
+from .streams import _root
 
 
 # --- craft market reports -------------------------------------------------------
@@ -107,6 +109,23 @@ def monthly_report_incremental(t):
                                   "customer_id", mark, AS_OF)
 
 
+@query(CUSTOMER_SQL)
+def monthly_report_stored(t):
+    """The stored fact table and report up to a day, then the lines after it: only the parts
+    of their customers are read and replaced."""
+    fact, customers, craftsmen, products = _market(t)
+    mark, parts, root = "2001-07-15", 32, _root(t)
+    late = F.col("load_dttm") > F.lit(mark).cast("timestamp_ntz")
+    fact = checkpointed(fact)
+    report_store.store_facts(fact.filter(~late), f"{root}/fact", "customer_id", parts)
+    before = reports.customer_report(fact.filter(~late), customers, craftsmen, products, AS_OF)
+    report_store.store_report(before, f"{root}/mart", "customer_id", parts)
+    report_store.append_facts(fact.filter(late), f"{root}/fact", "customer_id", parts)
+    report_store.refresh_stored(t.spark, f"{root}/fact", f"{root}/mart", reports.customer_report, customers, craftsmen,
+                                products, "customer_id", mark, AS_OF, parts)
+    return t.spark.read.parquet(f"{root}/mart").drop("part")
+
+
 # --- sources and sales ------------------------------------------------------------
 
 @query("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS l_linenumber, l_extendedprice AS price, "

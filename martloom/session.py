@@ -25,7 +25,6 @@ def build_session(app: str = "martloom", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.streaming.stopGracefullyOnShutdown", "true")
     for key, value in {**RUNTIME, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

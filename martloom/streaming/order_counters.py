@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.aggregates import add_counts
 from ..operators.merge import new_rows
 from ..plans.counters import counted_items, user_category_counters, user_product_counters
-from .common import read_before, write_batch
+from .common import BATCH, dedup_messages, read_before, write_batch
 
 # Fields of a message from the vault layer.
 ENRICHED_SCHEMA = (
@@ -18,16 +18,37 @@ ENRICHED_SCHEMA = (
 ITEMS = "user_id string, product_id string"
 
 
-def running_counts(messages: DataFrame) -> DataFrame:
-    """Counters kept in the state store; write them in update mode.  Feed it
-    de-duplicated messages."""
-    return counted_items(messages).groupBy("user_id", "product_id").agg(F.count(F.lit(1)).alias("order_cnt"))
+def running_counts(messages: DataFrame, sent: str = "sent_at", delay: str = "1 day") -> DataFrame:
+    """Orders per user and product, kept in the state store; start it in update mode.
+
+    Only messages that count are remembered, by their order, for `delay` of sending time:
+    one delivered again within it is dropped by that state, one sent before it is late and
+    dropped by the watermark.  No table of the orders seen is read, so a batch costs what
+    it touches, however many came before.
+    """
+    counting = messages.filter(
+        F.col("h_order_pk").isNotNull() & (F.col("status").isNull() | F.col("status").isin("", "CLOSED")))
+    once = dedup_messages(counting, "h_order_pk", sent, delay)
+    return counted_items(once).groupBy("user_id", "product_id").agg(F.count(F.lit(1)).alias("order_cnt"))
+
+
+def changed_counts(root: str):
+    """Handler for the counters in update mode: a batch writes the new state of the
+    counters that it changed; a retried batch replaces its folder."""
+    return lambda batch, batch_id: write_batch(batch, f"{root}/counts", batch_id)
+
+
+def current_counts(spark: SparkSession, root: str) -> DataFrame:
+    """The last state of every counter: user_id, product_id, order_cnt."""
+    changes = spark.read.parquet(f"{root}/counts")
+    return changes.groupBy("user_id", "product_id").agg(F.max_by("order_cnt", BATCH).alias("order_cnt"))
 
 
 def counter_batch(root: str, directory: DataFrame):
-    """Handler for foreachBatch.  A batch adds its own counts as one folder of deltas,
-    so its cost follows the batch and not the size of the counters.  Orders counted
-    in an earlier batch are skipped; a retried batch replaces its folders."""
+    """Handler for foreachBatch.  A batch adds its own counts as one folder of deltas.
+    Orders counted in any earlier batch are skipped, however long ago, by the table of
+    their keys, which every batch reads; `running_counts` bounds that by a delay instead.
+    A retried batch replaces its folders."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
