@@ -45,11 +45,11 @@ def _write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> Dat
                     kind = width(known.tokenizer)
                     name = new_file(folder, "")
                     ids_file, docs_file, sizes_file = (open(name + end, "wb") for end in (".ids", ".docs", ".sizes"))
-                sizes = []
+                end, found, sizes = np.array([end_id], kind), [], []
                 for ids in encode(known, rows.column("text")):
-                    ids_file.write(ids.astype(kind, copy=False).tobytes())
-                    ids_file.write(np.array([end_id], kind).tobytes())
+                    found += [ids, end]
                     sizes.append(len(ids) + 1)
+                np.concatenate(found).astype(kind, copy=False).tofile(ids_file)
                 docs_file.write(rows.column("doc_id").cast(pa.int64()).fill_null(NO_ID).to_numpy().astype("<i8").tobytes())
                 sizes_file.write(np.array(sizes, "<i8").tobytes())
                 n_docs, n_ids = n_docs + len(sizes), n_ids + sum(sizes)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import sys
 import types
@@ -12,9 +13,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-EMPTY, SPACE = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
-# White space before a space: there a piece could not be encoded alone.
-RUNS = "[\\s\\x0b\\x1c-\\x1f\\x{85}\\p{Z}] "
+CUT = "\x01"
+# White space before a space: there a piece could not be encoded alone.  Or the mark itself.
+RUNS = "[\\s\\x0b\\x1c-\\x1f\\x{85}\\p{Z}] |\\x01"
+LETTER = "[A-Za-zÀ-ÖØ-öø-ɏα-ωА-я]"
+# Ends of pieces that no merge crosses: one line break between a mark and a letter, and a letter before either.
+ENDS = [(f"([.,;:!?]\n)({LETTER})", f"\\1{CUT}\\2"), (f"({LETTER})([.,;:!?\n])", f"\\1{CUT}\\2")]
 
 
 def load(path: str, plain_specials: bool = False) -> Tokenizer:
@@ -52,7 +56,7 @@ class Pieces:
     def _add(self, pieces: list[str], lines: list[str], sizes: np.ndarray | None) -> None:
         """Encode lines; sizes are the bytes of the pieces that stand in them, None if each line is a piece."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
-        ids = np.fromiter((i for x in found for i in x), self.flat.dtype, sum(map(len, found)))
+        ids = np.fromiter(itertools.chain.from_iterable(found), self.flat.dtype, sum(map(len, found)))
         if sizes is None:
             ends = np.cumsum([len(x) for x in found])
         else:
@@ -89,9 +93,9 @@ def pieces_of(path: str, plain_specials: bool = False) -> Pieces:
 def encode(known: Pieces, texts: pa.Array, by_spaces: bool = True) -> list[np.ndarray]:
     """Ids of every text of a batch, exactly as the tokenizer encodes the whole text.
 
-    A byte-level BPE never merges across the start of white space, so a text is the
-    pieces between its spaces, each with its space in front, and every different piece
-    is encoded once.  Texts with white space before a space, and all texts for
+    A byte-level BPE never merges across the start of white space nor across the end of a
+    run of letters, so a text is the pieces between its spaces, each with its space in
+    front and cut after words, and every different piece is encoded once.  Texts with white space before a space, and all texts for
     tokenizers of another kind (by_spaces=False), are encoded whole.
     """
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -105,14 +109,14 @@ def encode(known: Pieces, texts: pa.Array, by_spaces: bool = True) -> list[np.nd
         out[i] = np.array(ids, known.flat.dtype)
     rest = np.flatnonzero(~odd)
     if len(rest):
-        pieces = pc.split_pattern(texts.take(pa.array(rest)), " ")
+        marked = texts.take(pa.array(rest))
+        for end, cut in ENDS:
+            marked = pc.replace_substring_regex(marked, end, cut)
+        pieces = pc.split_pattern(pc.replace_substring(marked, " ", CUT + " "), CUT)
         starts = pieces.offsets.to_numpy()
         starts = starts - starts[0]
-        flat = pieces.flatten()
-        first = np.zeros(len(flat), bool)
-        first[starts[:-1]] = True
-        coded = pc.if_else(pa.array(first), flat, pc.binary_join_element_wise(EMPTY, flat, SPACE)).dictionary_encode()
-        which = known.places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        coded = pieces.flatten().dictionary_encode()
+        which = known.places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
         begin, sizes = known.ends[which], known.ends[which + 1] - known.ends[which]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         tokens = known.flat[np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1])]

@@ -11,7 +11,7 @@ from martloom.llm import token_counts, token_files, tokens
 from tests.llm.common import no_documents, odd_documents, rows_of
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-PARTS = [" ", "  ", "\n", "\t", "a", "Bc", "é", "!", "12", "'s", "\u3000", "\x1c", "\x85", "<|endoftext|>", "中", "\r\n", "-"]
+PARTS = [".", ",", ".\n", "\x01", "ö", "word", "я.", "Σ", "'", " ", "  ", "\n", "\t", "a", "Bc", "é", "!", "12", "'s", "\u3000", "\x1c", "\x85", "<|endoftext|>", "中", "\r\n", "-"]
 
 
 def ids_of(text, plain=False):
