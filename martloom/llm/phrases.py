@@ -3,7 +3,8 @@
 The texts become chunks of word numbers, and each level of phrases (1 to 4 words) is
 counted from the level below: a phrase can only be frequent if the phrases that it begins
 and ends with are, so windows over infrequent ones are never built, and nothing else is
-left out.  The frequent phrases of all levels form one stream of counts.  Sorted by their
+left out.  A chunk's counts leave it as compressed runs, sorted by phrase and dealt to
+buckets; a bucket's runs are merged in that order.  The frequent phrases of all levels form one stream of counts.  Sorted by their
 words from the front, a phrase stands behind all phrases that it begins with, so the last
 count seen of each length is its left part; sorted from the back, its right part.  Each
 phrase also tells the phrase one word shorter, at either side, that it extends it.  Both
@@ -13,11 +14,13 @@ streams are merged in one order, without a hash table of phrases.
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,12 +35,47 @@ BEST = 2000
 SCALE = 2_000_000
 CHUNK_WORDS = 2_000_000
 CHUNK_LANGS = 1000
+BUCKET_TEXT = 64_000_000  # bytes of text whose words one task merges
+BUCKET_PAIRS = 4_000_000  # counts that one task merges
 LOCAL = 1 << 29  # numbers of phrases inside a chunk
 SEQUENCE = 1 << 14  # chunks of a task
 BREAK = b"\xff"  # in no UTF-8 text
 PIECE_ENDS = b".,;:!?\n\v\f\r"
 FOLD = bytes.maketrans(PIECE_ENDS, BREAK * len(PIECE_ENDS))
-ROWS = 100_000
+# start: in a run of words the byte where their spellings begin, in a run of phrases its first number.
+RUNS = "chunk long, bucket int, lang string, start int, n long, run binary, codes binary"
+FOUND = "chunk long, entries binary, lang string, word string, gid long, head long, last long, f long"
+
+
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Numbers compressed byte by byte: all first bytes, then all second ones, and so on."""
+    planes = numbers.view(np.uint8).reshape(-1, numbers.itemsize).T
+    return zstandard.ZstdCompressor(3).compress(planes.tobytes())
+
+
+def _spread(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of the same length as compressed differences, small ones of either sign as small numbers."""
+    steps = np.concatenate([np.diff(np.asarray(c, np.int64), prepend=0) for c in columns])
+    return _squeezed((steps << 1) ^ (steps >> 63))
+
+
+def _unpacked(data: bytes, columns: int) -> np.ndarray:
+    folded = _spread(data, np.uint64)
+    steps = (folded >> np.uint64(1)).astype(np.int64) ^ -(folded & np.uint64(1)).astype(np.int64)
+    return np.cumsum(steps.reshape(columns, -1), axis=1)
+
+
+def _table(schema: str, **columns: list) -> pa.Table:
+    """Rows with the given columns, null in the others."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    n = len(next(iter(columns.values())))
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.table({name: pa.array(columns[name], kinds[kind]) if name in columns else pa.nulls(n, kinds[kind]) for name, kind in fields})
 
 
 class _Chunk:
@@ -57,30 +95,28 @@ class _Chunk:
         self.codes.append(np.zeros(1, np.int32))
         self.size += len(words) + 1
 
-    def rows(self, chunk: int) -> Iterator[pa.RecordBatch]:
-        """A row for each different word, and one with the numbers of all."""
+    def rows(self, chunk: int, buckets: int) -> Iterator[pa.Table]:
+        """A run of counted words for each lang and bucket, and the numbers of all words."""
         codes = np.concatenate(self.codes)
         counts = np.bincount(codes)
         for lang, words in self.words.items():
-            listed, places = list(words)[1:], np.fromiter(words.values(), np.int32)[1:]
-            for at in range(0, len(listed), ROWS):
-                part, local = listed[at : at + ROWS], places[at : at + ROWS]
-                yield _batch(chunk, local, counts[local], pa.array([lang] * len(part)), [
-                    pa.array(part, pa.binary()).cast(pa.string())])
-        yield _batch(chunk, [0], [0], pa.nulls(1, pa.string()), [pa.nulls(1, pa.string())], codes.tobytes())
-
-
-def _batch(chunk: int, local, counts, lang: pa.Array, words: list, codes: bytes | None = None) -> pa.RecordBatch:
-    n = len(local)
-    names = ["word"] if words and pa.types.is_string(words[0].type) else [f"w{k}" for k in range(1, len(words) + 1)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, chunk, np.int64)), pa.array(np.asarray(local, np.int32)), pa.array(np.asarray(counts, np.int64)),
-         lang, *words, pa.array([codes] * n, pa.binary())],
-        ["chunk", "local", "count", "lang", *names, "codes"])
-
-
-def _chunks(docs: DataFrame, chunk_words: int) -> DataFrame:
-    """(chunk, local, count, lang, word) for each word of a chunk, and a row with its codes."""
+            del words[BREAK]
+            dealt: dict[int, list[bytes]] = defaultdict(list)
+            for word in words:
+                dealt[zlib.crc32(word) % buckets].append(word)
+            for bucket, part in dealt.items():
+                local = np.fromiter(map(words.__getitem__, part), np.int64, len(part))
+                run = _packed(local, counts[local])
+                spelled = zstandard.ZstdCompressor(3).compress(b"\n".join(part))
+                yield _table(RUNS, chunk=[chunk], bucket=[bucket], lang=[lang], start=[len(run)], n=[int(counts[local].sum())],
+                             run=[run + spelled])
+        yield _table(RUNS, chunk=[chunk], n=[len(codes)], codes=[_squeezed(codes)])
+
+
+def _chunks(docs: DataFrame, chunk_words: int, bucket_text: int) -> DataFrame:
+    """Runs of counted words by chunk, lang and bucket, and each chunk's codes."""
+    texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), blank(F.col("text")).cast("binary").alias("text"))
+    buckets = (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // bucket_text + 1
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, sequence, chunk = TaskContext.get().partitionId(), 0, _Chunk()
@@ -90,37 +126,89 @@ def _chunks(docs: DataFrame, chunk_words: int) -> DataFrame:
                 if chunk.size >= chunk_words or len(chunk.words) >= CHUNK_LANGS:
                     if sequence + 1 >= SEQUENCE:
                         raise RuntimeError("a task of so many chunks needs more input partitions")
-                    yield from chunk.rows(task * SEQUENCE + sequence)
+                    for table in chunk.rows(task * SEQUENCE + sequence, buckets):
+                        yield from table.to_batches()
                     sequence, chunk = sequence + 1, _Chunk()
         if chunk.size:
-            yield from chunk.rows(task * SEQUENCE + sequence)
-
-    texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), blank(F.col("text")).cast("binary").alias("text"))
-    return stored(texts.mapInArrow(read, "chunk long, local int, count long, lang string, word string, codes binary"), "words")
-
-
-def _frequent(level: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """The rows whose phrase occurs `least` times in all chunks, with that count as f
-    and the place of its first row as an identity that is the same everywhere."""
-    same = Window.partitionBy(*keys)
-    place = F.col("chunk") * LOCAL + F.col("local")
-    rows = level.filter(F.col("codes").isNull()).select(
-        "chunk", "local", "lang", *[k for k in keys if k != "lang"],
-        F.sum("count").over(same).alias("f"), F.min(place).over(same).alias("first"), place.alias("place"))
-    return stored(rows.filter(F.col("f") >= least), "frequent")
-
-
-def _longer(words: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Windows one word longer than the frequent phrases of a chunk."""
-    keys = [f"w{k}" for k in range(1, words + 1)]
+            for table in chunk.rows(task * SEQUENCE + sequence, buckets):
+                yield from table.to_batches()
+
+    return stored(texts.mapInArrow(read, RUNS), "words")
+
+
+def _merge_words(least: int) -> Callable[[pa.Table], pa.Table]:
+    """Words of a bucket that occur `least` times: their places for each chunk, and a row for each."""
+
+    def merge(runs: pa.Table) -> pa.Table:
+        totals: dict[tuple[str, bytes], list[int]] = {}  # count, first place
+        read = []
+        for row in runs.select(["chunk", "lang", "start", "run"]).to_batches(max_chunksize=1):
+            chunk, lang, start, run = (c[0].as_py() for c in row.columns)
+            local, counts = _unpacked(run[:start], 2)
+            words = zstandard.ZstdDecompressor().decompress(run[start:]).split(b"\n")
+            read.append((chunk, lang, local, words))
+            for place, count, word in zip((chunk * LOCAL + local).tolist(), counts.tolist(), words):
+                total = totals.setdefault((lang, word), [0, place])
+                total[0] += count
+                total[1] = min(total[1], place)
+        frequent = {k: v for k, v in totals.items() if v[0] >= least}
+        chunks, entries = [], []
+        for chunk, lang, local, words in read:
+            hits = [(i, known[1]) for i, w in zip(local.tolist(), words) if (known := frequent.get((lang, w)))]
+            if hits:
+                places, gids = np.array(hits, np.int64).T
+                chunks.append(chunk)
+                entries.append(_packed(places, gids, gids))
+        once = list(frequent.items())
+        return pa.concat_tables([
+            _table(FOUND, chunk=chunks, entries=entries),
+            _table(FOUND, lang=[k[0] for k, _ in once], word=pa.array([k[1] for k, _ in once], pa.binary()).cast(pa.string()),
+                   gid=[v[1] for _, v in once], f=[v[0] for _, v in once])])
+
+    return merge
+
+
+def _merge_pairs(least: int) -> Callable[[pa.Table], pa.Table]:
+    """The same for phrases: runs sorted by (head, last), merged in that order."""
+
+    def merge(runs: pa.Table) -> pa.Table:
+        parts, places = [], []
+        for row in runs.select(["chunk", "start", "run"]).to_batches(max_chunksize=1):
+            chunk, start, run = (c[0].as_py() for c in row.columns)
+            parts.append(_unpacked(run, 3))
+            places.append(chunk * LOCAL + start + np.arange(parts[-1].shape[1]))
+        (head, last, counts), place = np.concatenate(parts, axis=1), np.concatenate(places)
+        order = np.lexsort((last, head))
+        head, last, counts, place = head[order], last[order], counts[order], place[order]
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(head) != 0) | (np.diff(last) != 0)]))
+        total, gid = np.add.reduceat(counts, first), np.minimum.reduceat(place, first)
+        kept = total >= least
+        size = np.diff(np.append(first, len(head)))
+        rows = np.repeat(kept, size)
+        at, known, ending = place[rows], np.repeat(gid, size)[rows], last[rows]
+        order = np.argsort(at)
+        at, known, ending = at[order], known[order], ending[order]
+        chunks, begins = np.unique(at // LOCAL, return_index=True)
+        entries = [_packed(at[a:b] % LOCAL, known[a:b], ending[a:b]) for a, b in zip(begins, [*begins[1:], len(at)])]
+        once = first[kept]
+        return pa.concat_tables([
+            _table(FOUND, chunk=chunks, entries=entries),
+            _table(FOUND, gid=gid[kept], head=head[once], last=last[once], f=total[kept])])
+
+    return merge
+
+
+def _longer(buckets: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Windows one word longer than the frequent phrases of a chunk, as runs sorted by
+    (head, last): the phrase without its last word, and that word."""
 
     def extend(codes: pa.Table, frequent: pa.Table) -> pa.Table:
-        none = _batch(0, [], [], pa.array([], pa.string()), [pa.array([], pa.int64())] * (words + 1))
+        none = _table(RUNS, chunk=[])
         if not codes.num_rows or not frequent.num_rows:
-            return pa.Table.from_batches([none])
+            return none
         chunk = codes.column("chunk")[0].as_py()
-        seen = np.frombuffer(codes.column("codes")[0].as_py(), np.int32)
-        local = frequent.column("local").to_numpy()
+        seen = _spread(codes.column("codes")[0].as_py(), np.int32)
+        local, gid, last = np.concatenate([_unpacked(e.as_py(), 3) for e in frequent.column("entries")], axis=1)
         index = np.full(max(seen.max(initial=0), local.max()) + 2, -1, np.int32)
         index[local] = np.arange(len(local), dtype=np.int32)
         seen = index[seen]  # -1, the last place, stays -1
@@ -128,43 +216,52 @@ def _longer(words: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         whole = (first >= 0) & (second >= 0)
         pair = first[whole].astype(np.int64) * len(local) + second[whole]
         if not len(pair):
-            return pa.Table.from_batches([none])
+            return none
         pair, which, counts = np.unique(pair, return_inverse=True, return_counts=True)
+        head, end = gid[pair // len(local)], last[pair % len(local)]
+        mixed = (head.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (end.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+        bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((end, head, bucket))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        head, end, counts, bucket = head[order], end[order], counts[order], bucket[order]
+        dealt, begins = np.unique(bucket, return_index=True)
+        cuts = list(zip(begins, [*begins[1:], len(bucket)]))
         runs = np.full(len(first), -1, np.int32)
-        runs[whole] = which
+        runs[whole] = place[which]
         kept = whole.copy()
         kept[1:] |= whole[:-1]  # one break after each run
-        a, b = pair // len(local), pair % len(local)
-        columns = [frequent.column(k).to_numpy() for k in keys]
-        new = [pa.array(c[a]) for c in columns] + [pa.array(columns[-1][b])]
-        lang = frequent.column("lang").combine_chunks().dictionary_encode()
-        lang = lang.take(pa.array(a)).cast(pa.string())
-        rows = _batch(chunk, np.arange(len(pair)), counts, lang, new)
-        last = _batch(chunk, [0], [0], pa.nulls(1, pa.string()), [pa.nulls(1, pa.int64())] * (words + 1), runs[kept].tobytes())
-        return pa.Table.from_batches([rows, last])
+        following = runs[kept]
+        return pa.concat_tables([
+            _table(RUNS, chunk=[chunk] * len(dealt), bucket=dealt.astype(np.int32), start=begins.astype(np.int32),
+                   run=[_packed(head[a:b], end[a:b], counts[a:b]) for a, b in cuts]),
+            _table(RUNS, chunk=[chunk], n=[len(following)], codes=[_squeezed(following)])])
 
     return extend
 
 
-def _streams(docs: DataFrame, least: int, most_words: int, chunk_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _streams(docs: DataFrame, least: int, most_words: int, chunk_words: int, bucket_text: int,
+             bucket_pairs: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All words counted by lang; the frequent words; the frequent phrases of all lengths."""
-    level = _chunks(docs, chunk_words)
-    totals = level.filter(F.col("codes").isNull()).groupBy("lang").agg(F.sum("count").alias("n"))
-    found = _frequent(level, ["lang", "word"], least).withColumn("w1", F.col("first"))
-    words = found.filter("place = first").select("w1", "word")
-    phrases = None
-    for n in range(1, most_words + 1):
-        keys = [f"w{k}" for k in range(1, n + 1)]
-        if n > 1:
-            of = ", ".join(f"{k} long" for k in keys)
-            codes = level.filter(F.col("codes").isNotNull()).select("chunk", "codes")
-            below = found.select("chunk", "local", "lang", *keys[:-1])
-            level = stored(codes.groupBy("chunk").cogroup(below.groupBy("chunk")).applyInArrow(
-                _longer(n - 1), f"chunk long, local int, count long, lang string, {of}, codes binary"), "windows")
-            found = _frequent(level, keys, least)
-        padded = [F.col(k) if k in keys else F.lit(-1).cast("long").alias(k) for k in _keys(most_words)]
-        once = found.filter("place = first").select("lang", *padded, F.lit(n).alias("n_words"), "f")
-        phrases = once if phrases is None else phrases.unionByName(once)
+    level = _chunks(docs, chunk_words, bucket_text)
+    totals = level.filter("codes is null").groupBy("lang").agg(F.sum("n").alias("n"))
+    runs = level.filter("codes is null").groupBy("bucket")
+    found = stored(runs.applyInArrow(_merge_words(least), FOUND), "frequent")
+    once = found.filter("entries is null")
+    words = once.select(F.col("gid").alias("w1"), "word")
+    none = [F.lit(-1).cast("long").alias(k) for k in _keys(most_words)]
+    below = once.select("lang", F.col("gid").alias("w1"), *none[1:], F.lit(1).alias("n_words"), "f", "gid")
+    phrases = below.drop("gid")
+    for n in range(2, most_words + 1):
+        codes = level.filter("codes is not null").select("chunk", "n", "codes")
+        buckets = (codes.agg(F.sum("n")).first()[0] or 0) // bucket_pairs + 1
+        entries = found.filter("entries is not null").select("chunk", "entries")
+        level = stored(codes.groupBy("chunk").cogroup(entries.groupBy("chunk")).applyInArrow(_longer(buckets), RUNS), "windows")
+        found = stored(level.filter("codes is null").groupBy("bucket").applyInArrow(_merge_pairs(least), FOUND), "frequent")
+        heads = below.select("lang", *_keys(n - 1), F.col("gid").alias("head"))
+        below = stored(found.filter("entries is null").select("gid", "head", F.col("last").alias(f"w{n}"), "f").join(heads, "head").select(
+            "lang", *_keys(n), *none[n:], F.lit(n).alias("n_words"), "f", "gid"), "phrases")
+        phrases = phrases.unionByName(below.drop("gid"))
     return totals, words, phrases
 
 
@@ -225,15 +322,17 @@ def _worst_cut(longest: int) -> Column:
 
 
 def collocations(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WORDS, best: int = BEST,
-                 chunk_words: int = CHUNK_WORDS) -> DataFrame:
+                 chunk_words: int = CHUNK_WORDS, bucket_text: int = BUCKET_TEXT,
+                 bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
     """The best phrases of each lang: lang, rank, phrase, a, l, r, n, score.
 
     A null text is empty, a null lang is `und`; repeated rows count again, whatever their
     doc_id; other columns are not read.  Texts of any length count whole: a task holds the
-    word numbers of one chunk, which ends with a text.  Ties go by count, then by phrase.
+    word numbers of one chunk, which ends with a text, or the counts of one bucket, whose
+    number grows with the input.  Ties go by count, then by phrase.
     Without a frequent phrase there are no rows.
     """
-    totals, words, phrases = _streams(docs, least, most_words, chunk_words)
+    totals, words, phrases = _streams(docs, least, most_words, chunk_words, bucket_text, bucket_pairs)
     scored = _merged(phrases, most_words).filter("not covered").withColumn("cut", _worst_cut(most_words - 1)).select(
         "lang", *_keys(most_words), "n_words", F.col("f").alias("a"), "cut.l", "cut.r", "cut.score")
     order = [F.col("score").desc(), F.col("a").desc()]

@@ -11,6 +11,8 @@ from tests.llm.common import rows_of
 SCHEMA = "conv_id long, turn long, role string, text string, depth string, `leaf` int, h int, head string"
 EXTRA = ("x", 1, 2, "y")
 
+pytestmark = pytest.mark.usefixtures("many_parts")
+
 
 def brute_force(rows):
     """The contract over rebuilt texts."""
