@@ -14,10 +14,12 @@ LEAST_LITERALS = 4  # words of a window that are no placeholders
 LEAST_WORDS = 12  # words of an item that a document must repeat in line, or the whole item
 BROADCAST_WINDOWS = 500_000  # about 20 MB; above that the windows meet in a shuffle
 NUMBER, NAME, UNIT = "#number", "#name", "#unit"  # no word has a #
-LEAST_SHORT = 4  # words of an item shorter than a window that is looked for as a whole
+LEAST_SHORT = 4  # an item of fewer words must stand in the document with its marks too
 # Words, numbers, and the marks after which a sentence, a line or a quotation starts.
 MARKS = list(".!?:\n\"([{\u201c\u201d\u201e\u00ab\u00bb")
-TOKEN = r"[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*|[.!?:\n\"(\[{\u201c\u201d\u201e\u00ab\u00bb]+"
+# Scripts written without spaces: Thai, Lao, Burmese, Khmer, Chinese, Japanese.  Each sign is a word.
+SIGNS = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+TOKEN = r"[a-zA-Z[\p{L}\p{M}&&[^" + SIGNS + r"]]]+|[" + SIGNS + r"&&[\p{L}\p{M}]]|[0-9]+(?:[.,][0-9]+)*|[.!?:\n\"(\[{\u201c\u201d\u201e\u00ab\u00bb]+"
 NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
     "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion").split()
@@ -39,6 +41,11 @@ def _is_mark(token: Column) -> Column:
     return F.substring(token, 1, 1).isin(MARKS)
 
 
+def flat(text: Column) -> Column:
+    """A text in lower case with single spaces."""
+    return F.lower(F.regexp_replace(blank(text), r"\s+", " "))
+
+
 def words(found: Column) -> Column:
     """The words and numbers among tokens."""
     return F.filter(found, lambda t: ~_is_mark(t))
@@ -141,16 +148,19 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, leas
     The candidate holds if these are `least_words` or the whole item, and the
     values in the slots fit: a question with other numbers or names is found, a
     text that only has the same form is not.  An item shorter than a window is found where
-    all its words follow each other; of fewer than four words it says too little and finds
-    nothing, as do template windows with fewer than four literal words.
+    all its words follow each other; one of fewer than four words only where its marks stand
+    there as well, so that "12 * 13 = ?" is not any 12 before a 13.  An item without a word
+    and template windows with fewer than four literal words find nothing.  In scripts
+    without spaces each sign counts as a word.
     """
     items = benchmark.groupBy(blank(F.col("text")).alias("text")).agg(F.min("item_id").alias("item_id")).select(
-        F.xxhash64("text").alias("item"), "item_id", tokens(F.col("text")).alias("found")).select(
-        "item", "item_id", lowered(F.col("found")).alias("item_words"), canonical(F.col("found")).alias("item_template"))
+        F.xxhash64("text").alias("item"), "item_id", tokens(F.col("text")).alias("found"), F.trim(flat(F.col("text"))).alias("item_text")).select(
+        "item", "item_id", "item_text", lowered(F.col("found")).alias("item_words"), canonical(F.col("found")).alias("item_template"))
     items = stored(items, "items")
     size = F.size("item_words")
     short = sorted(r["n"] for r in items.select(size.alias("n")).filter(
-        F.col("n").between(LEAST_SHORT, window - 1)).distinct().collect())
+        F.col("n").between(1, window - 1)).distinct().collect())
+    with_marks = any(n < LEAST_SHORT for n in short)  # else no whole text is needed beside its words
     found_in = F.explode(_windows(F.col("item_template"), F.col("item_words"), window, short)).alias("w")
     item_windows = stored(items.select("item", "item_template", size.alias("n"), found_in).filter(
         F.when(F.col("n") < window, F.col("w.width") == F.col("n")).otherwise((F.col("w.width") == window) & (
@@ -167,8 +177,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, leas
         F.min("item_at").alias("first"), F.max("item_end").alias("last")), "lines")
     named = lines.join(items, "item")
     texts = keyed.join(lines.select("id", "digest").distinct(), ["id", "digest"], "left_semi").dropDuplicates(
-        ["id", "digest"]).select("id", "digest", tokens(F.col("text")).alias("found")).select(
-        "id", "digest", lowered(F.col("found")).alias("words"), canonical(F.col("found")).alias("template"))
+        ["id", "digest"]).select("id", "digest", tokens(F.col("text")).alias("found"), (
+            flat(F.col("text")) if with_marks else F.lit("")).alias("flat")).select(
+        "id", "digest", "flat", lowered(F.col("found")).alias("words"), canonical(F.col("found")).alias("template"))
     both = texts.join(named, ["id", "digest"]).withColumn("places", F.filter(
         F.sequence("first", "last"),
         lambda p: (F.get("item_template", p) == F.get("template", p + F.col("shift")))
@@ -183,6 +194,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, leas
     held = both.withColumns({"slots": slots, "matched_words": F.size("places"), "run": run}).filter(
         (F.col("matched_words") >= F.least(F.lit(least_words), F.size("item_template"))) & _fits(
             F.col("slots"), F.col("run"), least_words))
+    held = held.filter((F.size("item_words") >= LEAST_SHORT) | F.contains("flat", F.col("item_text")))
     return held.withColumn("changed", F.size(F.filter("slots", lambda s: s["of_doc"] != s["of_item"]))).groupBy(
         "id", "digest", "item_id").agg(F.max("matched_words").alias("matched_words"), F.min("changed").alias("changed"))
 

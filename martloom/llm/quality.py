@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from martloom.llm.logistic import fit_logistic, logit, margin, sigmoid
 from martloom.llm.shared import stored
+from martloom.operators.windows import top_n
 
-LABELLED_DOCS, UNLABELLED_DOCS = 8_000, 6_000  # the bounded samples that are learned from
+LABELLED_DOCS = 8_000  # the bounded sample of labelled documents that is learned from
 ROUNDS = 4
 CONFIDENT = 0.97
-PER_ROUND = 400
+PER_ROUND = 400  # rows that each view passes on in a round, the surest of all
 THRESHOLD = 0.5
 FOLDS = 5  # remainder 0 is held out
 META_BINS = 64
@@ -101,70 +102,118 @@ def _view(x: np.ndarray, y: np.ndarray, held: np.ndarray, held_y: np.ndarray) ->
     return View(weights, fit_logistic(margin(held, weights)[:, None], held_y, l2=0.01))
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS) -> QualityModel:
-    """labels: 0, 1, or -1 for unlabelled rows.  A quarter of the labelled rows is held
-    back to calibrate.  In each round, both views are fitted and calibrated, and
-    each passes its most confident unlabelled rows (calibrated probability of a class
-    over CONFIDENT, the same share of both classes as labelled rows have) to the training set of the other."""
-    known = np.flatnonzero(labels >= 0)
-    held, train = known[::4], np.setdiff1d(known, known[::4])
-    share = min(max(labels[known].mean(), 0.02), 0.98) if len(known) else 0.5
-    views = (text, meta)
-    pseudo: list[dict[int, int]] = [{}, {}]
-    free = set(np.flatnonzero(labels < 0).tolist())
-    fitted: list[View] = []
+Picks = list[tuple[int, int, np.ndarray, np.ndarray]]
+
+
+def confident(views: list[View], text: np.ndarray, meta: np.ndarray, counts: dict[int, int]) -> list[tuple[int, int, float, int]]:
+    """(view, label, probability, row) of the rows of which a view is most sure: `counts` for
+    each label at most, only those with a calibrated probability of CONFIDENT."""
+    out = []
+    for at, (view, x) in enumerate(zip(views, (text, meta))):
+        p = sigmoid(view.log_odds(x))
+        for label, sure in ((1, p), (0, 1 - p)):
+            best = np.argsort(-sure, kind="stable")[: counts[label]]
+            out += [(at, label, float(sure[i]), int(i)) for i in best if sure[i] >= CONFIDENT]
+    return out
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, labels: np.ndarray, pick: Callable[[list[View], dict[int, int]], Picks],
+             rounds: int = ROUNDS) -> QualityModel:
+    """text, meta, labels (0, 1): the labelled rows, a quarter of which is held back to
+    calibrate.  In each round both views are fitted and calibrated, and `pick` finds among
+    the unlabelled rows those of which each view is most sure (as many of both classes as
+    the labelled rows' share tells); each view's rows join the training set of the other."""
+    every = np.arange(len(labels))
+    held, train = every[::4], np.setdiff1d(every, every[::4])
+    share = min(max(labels.mean(), 0.02), 0.98) if len(labels) else 0.5
+    counts = {1: int(PER_ROUND * share), 0: max(1, int(PER_ROUND * (1 - share)))}
+    views, learned = (text, meta), ([], [])
     for turn in range(rounds + 1):
         fitted = []
-        for x, extra in zip(views, pseudo):
-            rows = np.concatenate([train, np.array(sorted(extra), np.int64)])
-            y = np.concatenate([labels[train], [extra[i] for i in sorted(extra)]]).astype(np.float64)
-            fitted.append(_view(x[rows], y, x[held], labels[held].astype(np.float64)))
-        if turn == rounds or not free:
+        for at, x in enumerate(views):
+            extra = [row for _, *row in learned[at]]
+            rows = np.concatenate([x[train], np.array([r[at] for r in extra], np.float32).reshape(-1, x.shape[1])])
+            y = np.concatenate([labels[train], [label for label, *_ in learned[at]]]).astype(np.float64)
+            fitted.append(_view(rows, y, x[held], labels[held].astype(np.float64)))
+        if turn == rounds:
+            break
+        picked = pick(fitted, counts)
+        if not picked:
             break
-        rows = np.array(sorted(free), np.int64)
-        for mine, other in ((0, 1), (1, 0)):
-            p = sigmoid(fitted[mine].log_odds(views[mine][rows]))
-            good, bad = np.argsort(-p, kind="stable"), np.argsort(p, kind="stable")
-            for i in good[: int(PER_ROUND * share)]:
-                if p[i] >= CONFIDENT:
-                    pseudo[other][int(rows[i])] = 1
-                    free.discard(int(rows[i]))
-            for i in bad[: max(1, int(PER_ROUND * (1 - share)))]:
-                if p[i] <= 1 - CONFIDENT:
-                    pseudo[other][int(rows[i])] = 0
-                    free.discard(int(rows[i]))
+        for view, label, *row in picked:
+            learned[1 - view].append((label, *row))
     return QualityModel(*fitted, float(logit(np.array([share]))[0]))
 
 
+def _best_of_all(pool: DataFrame) -> Callable[[list[View], dict[int, int]], Picks]:
+    """Picks over the whole table of unlabelled features: every row is scored, a task keeps
+    its best ones, and the best of all come to the driver, so many in a round as co_train asks for."""
+    taken: set[int] = set()
+
+    def pick(views: list[View], counts: dict[int, int]) -> Picks:
+        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best: dict[tuple[int, int], list] = {}
+            for rows in batches:
+                rows = rows[~rows["row_id"].isin(taken)]
+                text, meta = _matrix(rows["text"], TEXT_FEATURES), _matrix(rows["meta"], META_FEATURES)
+                ids, texts, metas = rows["row_id"].to_list(), rows["text"].to_list(), rows["meta"].to_list()
+                for view, label, sure, i in confident(views, text, meta, counts):
+                    best.setdefault((view, label), []).append((sure, ids[i], texts[i], metas[i]))
+                for key, found in best.items():
+                    best[key] = sorted(found, key=lambda f: (-f[0], f[1]))[: counts[key[1]]]
+            yield pd.DataFrame([(*key, *f) for key, found in best.items() for f in found],
+                               columns=["view", "label", "sure", "row_id", "text", "meta"])
+
+        rows = top_n(pool.mapInPandas(score, "view int, label int, sure double, row_id long, text binary, meta binary"),
+                     ["view", "label"], [F.col("sure").desc(), F.col("row_id")], max(counts.values())).collect()
+        out: Picks = []
+        for r in sorted(rows, key=lambda r: (r["view"], r["label"], -r["sure"], r["row_id"])):
+            if r["row_id"] not in taken and sum((v, y) == (r["view"], r["label"]) for v, y, *_ in out) < counts[r["label"]]:
+                taken.add(r["row_id"])
+                out.append((r["view"], r["label"], np.frombuffer(r["text"], np.float32), np.frombuffer(r["meta"], np.float32)))
+        return out
+
+    return pick
+
+
+def _matrix(rows, width: int) -> np.ndarray:
+    return np.array([np.frombuffer(r, np.float32) for r in rows], np.float32).reshape(-1, width)
+
+
 def _column(docs: DataFrame, name: str, kind: str):
     return (F.col(f"`{name}`") if name in docs.columns else F.lit(None)).cast(kind)
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED_DOCS, unlabelled: int = UNLABELLED_DOCS) -> QualityModel:
-    """Learn from at most so many labelled documents (folds 1 to 4) and documents without a label,
-    those whose ids have the smallest hashes.  Only their features reach the driver."""
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED_DOCS) -> QualityModel:
+    """Learn from at most `labelled` labelled documents (folds 1 to 4, those whose ids have the
+    smallest hashes, one row of each) and from all documents without a label, which
+    every round looks through.  Features of equal rows count once; only those of labelled and
+    of picked rows reach the driver."""
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("label"))
     train = known.filter(F.crc32(F.col("doc_id").cast("string")) % FOLDS > 0)
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    rest = docs.select("doc_id").filter("doc_id is not null").distinct().join(known, "doc_id", "left_anti")
-    chosen = stored(train.orderBy(*order).limit(labelled).unionByName(
-        rest.orderBy(*order).limit(unlabelled).withColumn("label", F.lit(-1))), "quality-sample")
+    chosen = stored(train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled), "quality-sample")
 
     def views(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            yield pd.DataFrame({
-                "doc_id": rows["doc_id"], "label": rows["label"],
-                "text": [text_view(t).tobytes() for t in rows["bytes"]],
-                "meta": [meta_view(*m).tobytes() for m in zip(rows["lang"], rows["source"], rows["size"])]})
-
-    given = docs.select("doc_id", F.col("text").cast("binary").alias("bytes"), _column(docs, "lang", "string").alias("lang"),
-                        _column(docs, "source", "string").alias("source"), _column(docs, "n_chars", "double").alias("size"))
-    rows = given.join(F.broadcast(chosen), "doc_id").mapInPandas(  # a bounded list
-        views, "doc_id long, label int, text binary, meta binary").orderBy("doc_id").collect()
-    text = np.array([np.frombuffer(r["text"], np.float32) for r in rows]).reshape(-1, TEXT_FEATURES)
-    meta = np.array([np.frombuffer(r["meta"], np.float32) for r in rows]).reshape(-1, META_FEATURES)
-    return co_train(text, meta, np.array([r["label"] for r in rows], np.int64))
+            for at in range(0, len(rows), 500):
+                part = rows[at : at + 500]
+                yield part[["doc_id", "tie"]].assign(
+                    text=[text_view(t).tobytes() for t in part["bytes"]],
+                    meta=[meta_view(*m).tobytes() for m in zip(part["lang"], part["source"], part["size"])])
+
+    given = docs.filter("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), F.col("text").cast("binary").alias("bytes"),
+        _column(docs, "lang", "string").alias("lang"), _column(docs, "source", "string").alias("source"),
+        _column(docs, "n_chars", "double").alias("size"))
+    features = stored(given.mapInPandas(views, "doc_id long, tie long, text binary, meta binary"), "features")
+    # Equal rows, copies under many ids among them, count once; a hash is enough to tell rows apart.
+    pool = features.join(known, "doc_id", "left_anti").withColumn("row_id", F.xxhash64("text", "meta"))
+    pool = stored(pool.groupBy("row_id").agg(F.min(F.struct("text", "meta")).alias("row")).select("row_id", "row.*"), "unlabelled")
+    rows = features.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(  # a bounded list
+        F.min(F.struct("tie", "text", "meta", "label")).alias("row")).orderBy("doc_id").select("row.*").collect()
+    return co_train(_matrix([r["text"] for r in rows], TEXT_FEATURES), _matrix([r["meta"] for r in rows], META_FEATURES),
+                    np.array([r["label"] for r in rows], np.int64), _best_of_all(pool))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:

@@ -65,6 +65,20 @@ def test_slots_that_do_not_map_one_to_one(spark, item, text, hit):
     assert decontamination.contamination(docs, benchmark(spark, item)).first()["contaminated"] == hit
 
 
+SHORT = ["Capital of France?", "12 * 13 = ?", "这本书的作者是谁？他在哪里出生？请写出他的名字。", "東京タワー", "42?"]
+
+
+@pytest.mark.parametrize("text, hit", [
+    ("Quiz. capital  of\nfrance? Paris.", {0}), ("The capital of France is Paris.", set()), ("Ask: 12 * 13 = ? now", {1}),
+    ("rows 12, 13 and 14", set()), ("前言。这本书的作者是谁？他在哪里出生？请写出他的名字。后记。", {2}), ("这本书的作者是张三。他在北京出生。", set()),
+    ("昨日東京タワーへ行った", {3}), ("東京へ行ったタワー", set()), ("Is it 42? Yes", {4}), ("It is 42.", set()), ("", set()), (None, set())])
+def test_items_of_any_length_and_script(spark, text, hit):
+    items = spark.createDataFrame([*enumerate(SHORT), (8, "?!"), (9, "")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, text), (2, "nothing of this")], "doc_id long, text string")
+    assert {r.item_id for r in decontamination.find_items(docs, items).collect()} == hit
+    assert decontamination.without_items(docs, items).count() == 2 - bool(hit)
+
+
 def test_decontamination_of_odd_tables(spark):
     docs = odd_documents(spark)
     items = benchmark(spark, "lorem ipsum dolor " * 6, ITEM, ITEM)
@@ -95,7 +109,7 @@ def test_decontamination_is_brute_force(spark):
 
 def test_quality_on_held_out_labels(spark):
     docs, labels = table(spark, "documents"), table(spark, "labels")
-    model = quality.fit(docs, labels, labelled=2000, unlabelled=1000)
+    model = quality.fit(docs, labels, labelled=2000)
     judged = quality.score_quality(docs, model).select("row.doc_id", "judged.*").join(labels, "doc_id").filter(
         F.crc32(F.col("doc_id").cast("string")) % 5 == 0).toPandas()
     assert (judged.keep == (judged.quality == 1)).mean() > 0.98
@@ -117,11 +131,34 @@ def test_quality_of_odd_documents(spark):
 def test_co_training_teaches_the_blind_view():
     rng = np.random.default_rng(0)
     truth = rng.random(1200) < 0.5
-    text = (truth + rng.normal(0, 0.2, 1200))[:, None]
-    meta = (truth + rng.normal(0, 0.3, 1200))[:, None]
-    labels = np.where(np.arange(1200) < 80, truth.astype(int), -1)
-    _, _, score = quality.co_train(text, meta, labels).score(text, meta)
-    assert ((score > 0.5) == truth).mean() > 0.98
+    text = (truth + rng.normal(0, 0.2, 1200)).astype(np.float32)[:, None]
+    meta = (truth + rng.normal(0, 0.3, 1200)).astype(np.float32)[:, None]
+    taken = set()
+
+    def pick(views, counts):
+        new = [(v, y, i + 80) for v, y, _, i in quality.confident(views, text[80:], meta[80:], counts) if i + 80 not in taken]
+        taken.update(i for *_, i in new)
+        return [(v, y, text[i], meta[i]) for v, y, i in new]
+
+    _, _, score = quality.co_train(text[:80], meta[:80], truth[:80].astype(int), pick).score(text, meta)
+    assert ((score > 0.5) == truth).mean() > 0.98 and len(taken) > 200
+
+
+def test_picks_are_the_surest_of_all_rows(spark):
+    rng = np.random.default_rng(1)
+    text = rng.normal(0, 1, (400, quality.TEXT_FEATURES)).astype(np.float32)
+    meta = rng.normal(0, 1, (400, quality.META_FEATURES)).astype(np.float32)
+    views = [quality.View(rng.normal(0, 1, x.shape[1] + 1), np.array([1.0, 0.0])) for x in (text, meta)]
+    pool = spark.createDataFrame([(i, bytearray(t.tobytes()), bytearray(m.tobytes())) for i, (t, m) in enumerate(zip(text, meta))],
+                                 "row_id long, text binary, meta binary").repartition(7)
+    pick, counts = quality._best_of_all(pool), {1: 5, 0: 9}
+    seen = set()
+    for _ in range(2):  # the second round takes the next ones
+        free = [i for i in range(400) if i not in seen]
+        want = {(v, y, free[i]) for v, y, _, i in quality.confident(views, text[free], meta[free], counts)}
+        got = [(v, y, int(np.flatnonzero((text == t).all(axis=1))[0])) for v, y, t, _ in pick(views, counts)]
+        assert set(got) <= want and {i for *_, i in got} == {i for *_, i in want} and len(got) > 10
+        seen |= {i for *_, i in got}
 
 
 def test_toxicity_on_held_out_labels(spark):
