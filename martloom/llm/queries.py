@@ -33,7 +33,7 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     files = token_counts.write_flat_files(_table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
-    return token_counts.count_tokens(files)
+    return token_counts.with_doc_ids(token_counts.count_tokens(files), files)
 
 
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:

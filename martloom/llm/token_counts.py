@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,33 +19,43 @@ END_ID = 50256  # <|endoftext|> of the byte-level vocabulary; no text encodes to
 BLOCK_IDS = 1 << 20
 BLOCKS_PER_TASK = 8
 BATCH_ROWS = 2000
+NO_ID = -(1 << 63)  # stands for null
 
 
 def write_flat_files(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Encode every whole text (null: empty) into flat files without any index: ids,
     and the end id after each document.  Special tokens' strings count as ordinary
     text, so `end_id` must be a special token of the vocabulary.  Returns the list of
-    files: file, type, n_ids.  Each attempt of a task writes a file of its own name; only the finished ones are listed.
+    files: place (the number of its input partition, so the same input gives the same order), file, type, n_ids, and docs, a
+    flat file of the doc_ids in the order in which they were written, n_docs of them.
+    Each attempt of a task writes files of its own name; only the finished ones are listed.
     """
     folder = mounted(shared_folder(docs.sparkSession, "tokens"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, n_ids = None, 0
+        out, n_ids, n_docs = None, 0, 0
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 if out is None:
                     known = pieces_of(tokenizer, plain_specials=True)
                     kind, name = width(known.tokenizer), new_file(folder, ".ids")
-                    out = open(name, "wb")
+                    out, names = open(name, "wb"), open(name + ".docs", "wb")
+                doc_ids = batch.column("doc_id").slice(at, BATCH_ROWS).cast(pa.int64()).fill_null(NO_ID)
+                doc_ids.to_numpy().astype("<i8").tofile(names)
+                n_docs += len(doc_ids)
                 for ids in encode(known, batch.column("text").slice(at, BATCH_ROWS)):
                     out.write(ids.astype(kind, copy=False).tobytes())
                     out.write(np.array([end_id], kind).tobytes())
                     n_ids += len(ids) + 1
         if out is not None:
             out.close()
-            yield pa.RecordBatch.from_pydict({"file": [name], "type": [kind], "n_ids": [n_ids]})
+            names.close()
+            yield pa.RecordBatch.from_pydict({
+                "place": [TaskContext.get().partitionId()], "file": [name], "type": [kind], "n_ids": [n_ids],
+                "docs": [name + ".docs"], "n_docs": [n_docs]})
 
-    return stored(docs.select("text").mapInArrow(write, "file string, type string, n_ids long"), "files")
+    return stored(docs.select("doc_id", "text").mapInArrow(
+        write, "place long, file string, type string, n_ids long, docs string, n_docs long"), "files")
 
 
 def files_at(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
@@ -53,6 +64,24 @@ def files_at(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
     return spark.createDataFrame(rows, "place long, file string, type string, n_ids long")
 
 
+def with_doc_ids(counts: DataFrame, files: DataFrame) -> DataFrame:
+    """The counts with the doc_id of each document; null where it was null.  The n-th document of
+    the stream is the n-th of the lists of doc_ids, whose bases are a prefix sum over files."""
+    before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    lists = stored(files.select("docs", "n_docs", F.coalesce(F.sum("n_docs").over(before), F.lit(0)).alias("base")), "lists")
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for row in rows.itertuples():
+                ids = np.memmap(row.docs, "<i8", "r", shape=row.n_docs)
+                for at in range(0, row.n_docs, 100_000):
+                    part = pd.Series(np.array(ids[at : at + 100_000]), dtype="Int64")
+                    yield pd.DataFrame({"doc_no": row.base + at + np.arange(len(part)), "doc_id": part.mask(part == NO_ID)})
+
+    named = lists.repartition(max(1, lists.count())).mapInPandas(read, "doc_no long, doc_id long")
+    return counts.join(named, "doc_no", "left").select("doc_id", *counts.columns)
+
+
 def count_tokens(files: DataFrame, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> DataFrame:
     """One row per document of the files, read as one stream in the order of `place`
     (else of their names): doc_no, file_no of its end, start (ids before it), n_tokens

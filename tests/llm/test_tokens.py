@@ -61,7 +61,13 @@ def test_separator_scan_is_brute_force(spark, block_ids):
     got = sorted(rows_of(token_counts.count_tokens(files, block_ids=block_ids)))
     assert sorted(r[3] for r in got) == sorted(len(ids_of(r.text, plain=True)) for r in docs.collect())
     assert [r[0] for r in got] == list(range(len(got))) and all(r[4] for r in got)
-    assert token_counts.count_tokens(token_counts.write_flat_files(no_documents(spark), PATH)).count() == 0
+    named = sorted(rows_of(token_counts.with_doc_ids(token_counts.count_tokens(files, block_ids=block_ids), files)), key=str)
+    assert sorted(((r[0], r[4]) for r in named), key=str) == sorted(
+        ((r.doc_id, len(ids_of(r.text, plain=True))) for r in docs.collect()), key=str)
+    again = token_counts.write_flat_files(docs, PATH)
+    assert named == sorted(rows_of(token_counts.with_doc_ids(token_counts.count_tokens(again), again)), key=str)
+    nothing = token_counts.write_flat_files(no_documents(spark), PATH)
+    assert token_counts.with_doc_ids(token_counts.count_tokens(nothing), nothing).count() == 0
 
 
 def test_documents_span_blocks_and_files(spark, tmp_path):
