@@ -11,7 +11,8 @@ from martloom.operators import aggregates as agg
 from martloom.operators import filters, joins, windows
 from martloom.operators.nearest import city_rows, nearest
 from martloom.operators.pairs import co_members
-from martloom.operators.skew import count_changes, hot_keys, skew_join
+from martloom.operators.ranges import count_changes
+from martloom.operators.skew import hot_keys, skew_join
 from martloom.plans import dealership, inventory, restaurants
 
 from .registry import CITY_CTE, LOCATED_SQL, PLACED_SQL, placed, query, sql_half_up, sql_haversine
@@ -260,6 +261,26 @@ def per_account_ratio(t):
         ratio(F.count(F.lit(1)), F.count_distinct("o_custkey")).alias("per_account"))
 
 
+@query("""
+SELECT l_returnflag, l_linestatus, median(round(l_extendedprice * 100)::BIGINT)::DOUBLE AS median_cents
+FROM lineitem GROUP BY ALL""")
+def median_price(t):
+    """Few groups of very many different prices: the middle is found by counts over ranges."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents")
+    return agg.median_over_ranges(t.lineitem.select("l_returnflag", "l_linestatus", cents), ["l_returnflag", "l_linestatus"],
+                                         "cents", "median_cents")
+
+
+@query("""
+WITH v AS (SELECT l_returnflag, l_suppkey::VARCHAR AS s, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_suppkey::VARCHAR) AS n
+  FROM (SELECT DISTINCT l_returnflag, l_suppkey FROM lineitem))
+SELECT l_returnflag, (n - 1) // 50 AS chunk, string_agg(s, ', ' ORDER BY s) AS suppliers FROM v GROUP BY ALL""")
+def string_agg_in_chunks(t):
+    """All suppliers of each return flag, fifty to a text."""
+    rows = t.lineitem.select("l_returnflag", F.col("l_suppkey").cast("string").alias("s"))
+    return agg.string_agg_chunks(rows, ["l_returnflag"], "s", "suppliers", 50)
+
+
 @query("""
 SELECT o_orderpriority, median(date_diff('day', o_orderdate::DATE, l_shipdate::DATE))::DOUBLE AS median
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")

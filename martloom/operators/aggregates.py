@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+from .ranges import PART, in_ranges, running
 from .windows import top_n
 
 
@@ -56,6 +58,42 @@ def median_of_counts(counted: DataFrame, keys: Sequence[str], value: str, weight
     return marked.groupBy(*keys).agg(((low + high) / 2).cast("double").alias(output), *others)
 
 
+def median_over_ranges(df: DataFrame, keys: Sequence[str], value: str, output: str = "median") -> DataFrame:
+    """Exact continuous median per key of values from a wide domain, NULLs ignored.
+
+    Equal values are folded, and the rows lie in range partitions of (key, value).  What a
+    partition holds of a key is one row of counts; those rows tell in which partition the
+    middle stands, and only there are values looked at, so a group may be of any size.
+    """
+    keys = list(keys)
+    order = [*keys, value]
+    weight = F.when(F.col(value).isNotNull(), F.col("_n")).otherwise(F.lit(0))
+    counted = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
+    parts = in_ranges(counted, order)
+    # Keys as one struct, in which nulls are equal.
+    upto = running(parts, keys, order, {"_upto": weight}).withColumn("_key", F.struct(*keys))
+    ends = checkpointed(upto.groupBy(PART, "_key").agg(
+        F.max("_upto").alias("_last"), F.min(F.col("_upto") - weight).alias("_before")))
+    middle = ends.groupBy("_key").agg(F.max("_last").alias("_all")).selectExpr(
+        "_key", "(_all + 1) div 2 AS _low", "_all div 2 + 1 AS _high")
+    hits = ends.join(middle, "_key").filter("_before < _high and _last >= _low").select(PART, "_key", "_low", "_high")
+    low = F.min(F.when(F.col("_upto") >= F.col("_low"), F.col(value)))
+    high = F.min(F.when(F.col("_upto") >= F.col("_high"), F.col(value)))
+    found = upto.select(PART, "_key", value, "_upto").join(hits, [PART, "_key"])
+    return found.groupBy("_key").agg(((low + high) / 2).cast("double").alias(output)).select("_key.*", output)
+
+
+def string_agg_chunks(df: DataFrame, keys: Sequence[str], col: str, output: str, size: int = 1000, sep: str = ", ") -> DataFrame:
+    """Distinct values of a group in sorted order as texts of `size` values each, numbered
+    by `chunk` from 0, for groups of any size: the texts of a group, joined in the order
+    of the chunks, are its whole list, and no task holds more than one of them."""
+    keys, order = list(keys), [*keys, col]
+    values = df.select(*order).where(F.col(col).isNotNull()).distinct()
+    numbered = running(in_ranges(values, order), keys, order, {"_place": F.lit(1).cast("long")})
+    return numbered.withColumn("chunk", F.expr(f"(_place - 1) div {size}")).groupBy(*keys, "chunk").agg(
+        F.array_join(F.sort_array(F.collect_list(col)), sep).alias(output))
+
+
 def string_agg_distinct(df: DataFrame, keys: Sequence[str], col: str, output: str, sep: str = ", ") -> DataFrame:
     """Distinct values of a group in one text, in sorted order."""
     # Pairs are made distinct first: repeats of a hot group never meet in one task.

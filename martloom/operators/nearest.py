@@ -87,10 +87,12 @@ def _nearest_inline(df: DataFrame, rows: Sequence[tuple], lat: str, lon: str, bo
         best = best.filter(F.col("_best")["d2"] < _OUTSIDE)
     names = F.array(*[F.lit(r[0]) for r in rows])
     zones = F.array(*[F.lit(r[3]) for r in rows])
-    at, known = F.col("_best")["i"] + 1, F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
+    # get, not element_at: code for a null index into an array of constants does not compile.
+    known = F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
+    at = F.when(known, F.col("_best")["i"])
     return best.withColumns({
-        "zone_id": F.when(known, F.element_at(names, at)),
-        "timezone": F.when(known, F.element_at(zones, at)),
+        "zone_id": F.get(names, at),
+        "timezone": F.get(zones, at),
         "distance_km": F.when(known, chord_to_km(F.col("_best")["d2"])),
     }).drop("_x", "_y", "_z", "_lat", "_lon", "_best")
 

@@ -72,3 +72,30 @@ def running(parts: DataFrame, key: Sequence[str], order: Sequence[str], sums: Ma
     return rows.join(F.broadcast(carry), PART).withColumns(
         {k: F.col(k) + F.when(at, F.coalesce(f"_{k}", F.lit(0))).otherwise(0) for k in sums}).drop(
         "_key", *[f"_{k}" for k in sums])
+
+
+def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+                   output: str = "previous") -> DataFrame:
+    """Value of the row before, per key, in the given total order (LAG).
+
+    A plain LAG puts every row of a key in one task.  Here a key may reach over as many
+    partitions as its rows need, wherever they lie in the order, and a partition's first
+    row takes the last one of the partition before it.  Null keys are a key.
+    """
+    keys, whole = list(keys), [*keys, *order]
+    parts = in_ranges(df, whole)
+    inside = Window.partitionBy(PART, *keys).orderBy(*order)
+    rows = parts.withColumns({"_rn": F.row_number().over(inside), "_lag": F.lag(value).over(inside)})
+    last = F.max_by(F.struct(F.struct(*keys).alias("key"), F.col(value).alias("value")), F.struct(*whole)).alias("_last")
+    edges = parts.groupBy(PART).agg(last).select(PART, F.lag("_last").over(Window.orderBy(PART)).alias("_edge"))
+    carried = F.when(F.col("_edge.key").eqNullSafe(F.struct(*keys)), F.col("_edge.value"))
+    return rows.join(F.broadcast(edges), PART).withColumn(
+        output, F.when(F.col("_rn") == 1, carried).otherwise(F.col("_lag"))).drop(PART, "_rn", "_lag", "_edge")
+
+
+def count_changes(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, output: str = "changes") -> DataFrame:
+    """How often the value differs from the row before, per key."""
+    narrow = df.select(*dict.fromkeys([*keys, *order, value]))
+    marked = previous_value(narrow, keys, order, value, "_previous")
+    moved = F.when(F.col("_previous") != F.col(value), 1).otherwise(0)
+    return marked.groupBy(*keys).agg(F.sum(moved).cast("bigint").alias(output))

@@ -1,12 +1,14 @@
-"""Joins and windows that stay balanced when one key holds a large part of the rows."""
+"""Joins that stay balanced when one key holds a large part of the rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
+
 
 def hot_key_table(df: DataFrame, keys: Sequence[str], share: float = 0.02, tracked: int = 2_000) -> dict[str, list]:
     """For each column the values that hold more than `share` of the rows: at most
@@ -35,12 +37,14 @@ def skew_join(
     key: str,
     how: str = "inner",
     hot: Sequence | None = None,
-    salts: int = 64,
+    salts: int | None = None,
 ) -> DataFrame:
     """Equi-join of many-rows-per-key `fact` with one-row-per-key `dim`.
 
     Rows of hot keys are spread over `salts` tasks by a hash of the whole row and
-    the few matching rows of `dim` are repeated once per salt.  `how` is inner,
+    the few matching rows of `dim` are repeated once per salt; by default as many as a
+    shuffle of this session has partitions, and 64 at least, so that a share of a hot key
+    is no more than what a task gets anyway.  `how` is inner,
     left, left_semi or left_anti, so each fact row meets exactly one copy.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -48,82 +52,10 @@ def skew_join(
     hot = hot_keys(fact, key) if hot is None else list(hot)
     if not hot:
         return fact.join(dim, key, how)
+    salts = salts or max(64, shuffle_partitions(fact.sparkSession))
     is_hot = F.col(key).isin(hot)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)).cast("int")
     fact = fact.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     dim = dim.withColumn("_salt", F.explode(copies))
     return fact.join(dim, [key, "_salt"], how).drop("_salt")
-
-
-def previous_value(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    output: str = "previous",
-    unit: str = "hour",
-) -> DataFrame:
-    """Value of the row before, per key, in the given total order (LAG).
-
-    order[0] must be a timestamp or date.  A plain LAG puts every row of a key in
-    one task.  Here the window runs per key and time slice; only the last value
-    of each slice travels on to the next one, so a task never holds more than one
-    slice of a hot key and the second step sees one row per slice.
-    """
-    keys = list(keys)
-    cut = F.date_trunc(unit, F.col(order[0]))
-    rows = df.withColumn("_slice", cut)
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    rows = rows.withColumn("_rn", F.row_number().over(inside)).withColumn("_lag", F.lag(value).over(inside))
-
-    edges = (
-        df.select(*dict.fromkeys([*keys, *order, value]))
-        .withColumn("_slice", cut)
-        .groupBy(*keys, "_slice")
-        .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_last"))
-    )
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    edges = edges.select(*keys, "_slice", F.lag("_last").over(across)["v"].alias("_carry"))
-    return (
-        rows.join(edges, [*keys, "_slice"], "left")
-        .withColumn(output, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag")))
-        .drop("_slice", "_rn", "_lag", "_carry")
-    )
-
-
-def count_changes(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    output: str = "changes",
-    unit: str = "hour",
-) -> DataFrame:
-    """How often the value differs from the row before, per key.
-
-    Same slicing as `previous_value`, but rows are folded inside their slice, so
-    only (first value, last value, changes) of each slice is passed on.
-    """
-    keys = list(keys)
-    rows = df.select(*dict.fromkeys([*keys, *order, value])).withColumn(
-        "_slice", F.date_trunc(unit, F.col(order[0]))
-    )
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    moved = F.when(F.lag(value).over(inside) != F.col(value), 1).otherwise(0)
-    slices = (
-        rows.withColumn("_moved", moved)
-        .groupBy(*keys, "_slice")
-        .agg(
-            F.sum("_moved").alias("_inside"),
-            F.min_by(value, F.struct(*order)).alias("_first"),
-            F.max_by(value, F.struct(*order)).alias("_last"),
-        )
-    )
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    step = F.when(F.lag("_last").over(across) != F.col("_first"), 1).otherwise(0)
-    return (
-        slices.withColumn("_step", step)
-        .groupBy(*keys)
-        .agg((F.sum("_inside") + F.sum("_step")).cast("bigint").alias(output))
-    )

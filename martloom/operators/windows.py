@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed, shuffle_partitions
-from .skew import previous_value
+from .ranges import previous_value
 
 
 def top_n(df: DataFrame, by: Sequence[str], order: Sequence, n: int = 1) -> DataFrame:
@@ -46,9 +46,9 @@ def flag_first(df: DataFrame, key: str, row_id: str, order: Sequence[str], outpu
 
 
 def flag_change(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
-                output: str = "is_change", unit: str = "hour") -> DataFrame:
+                output: str = "is_change") -> DataFrame:
     """1 where the value differs from the row before, else 0."""
-    marked = previous_value(df, keys, order, col, "_previous", unit)
+    marked = previous_value(df, keys, order, col, "_previous")
     return marked.withColumn(
         output, F.when(F.col("_previous").isNotNull() & (F.col(col) != F.col("_previous")), 1).otherwise(0)
     ).drop("_previous")

@@ -10,7 +10,7 @@ from ..functions.keys import ordered_pair
 from ..operators.filters import require
 from ..operators.nearest import nearest
 from ..operators.pairs import limit_groups, pairs_within
-from ..operators.skew import count_changes
+from ..operators.ranges import count_changes
 from ..operators.windows import home_state, latest
 
 # Days in one city that make it home, km between friends, degrees to a city.

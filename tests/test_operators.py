@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from martloom.functions.geo import CITIES, haversine
-from martloom.operators import aggregates, filters, joins, merge, nearest, pairs, progress, skew, vault, windows
+from martloom.operators import aggregates, filters, joins, merge, nearest, pairs, progress, ranges, skew, vault, windows
 from tests.helpers import frame, plan, rows
 
 
@@ -121,20 +121,57 @@ def _walk(spark, n=4000, users=5):
     return spark.createDataFrame(data, "id int, u int, ts timestamp_ntz, z string")
 
 
-def test_sliced_lag_equals_lag(spark):
-    df = _walk(spark)
+def test_lag_over_ranges_equals_lag(spark, many_parts):
+    df = _walk(spark).unionByName(_walk(spark).withColumns({"u": F.lit(None).cast("int"), "id": F.col("id") + 100_000}))
     want = df.withColumn("p", F.lag("z").over(Window.partitionBy("u").orderBy("ts", "id")))
-    for unit in ("minute", "hour", "day", "month"):
-        got = skew.previous_value(df, ["u"], ["ts", "id"], "z", "p", unit)
-        assert rows(got, "id", "p") == rows(want, "id", "p")
+    assert rows(ranges.previous_value(df, ["u"], ["ts", "id"], "z", "p"), "id", "p") == rows(want, "id", "p")
+    assert ranges.previous_value(df.limit(0), ["u"], ["ts", "id"], "z").count() == 0
 
 
-def test_sliced_change_count_equals_lag(spark):
+def test_a_key_with_all_rows_in_one_hour_is_split(spark, many_parts):
+    df = spark.range(8000).select("id", F.lit(7).alias("u"), F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("ts"),
+                                  (F.col("id") % 3).alias("z"))
+    parts = ranges.in_ranges(df, ["u", "ts", "id"]).groupBy(ranges.PART).count()
+    assert parts.count() >= 4 and parts.agg(F.max("count")).first()[0] < 4000
+    want = df.withColumn("p", F.lag("z").over(Window.partitionBy("u").orderBy("ts", "id")))
+    assert rows(ranges.previous_value(df, ["u"], ["ts", "id"], "z", "p"), "id", "p") == rows(want, "id", "p")
+
+
+def test_running_values_over_ranges(spark, many_parts):
+    df = _walk(spark).unionByName(_walk(spark).withColumns({"u": F.lit(None).cast("int"), "id": F.col("id") + 100_000}))
+    parts = ranges.in_ranges(df, ["u", "ts", "id"])
+    upto = Window.partitionBy("u").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("id", F.sum("id").over(upto).alias("s"), F.sum(F.lit(1)).over(upto).alias("n"))
+    got = ranges.running(parts, ["u"], ["u", "ts", "id"], {"s": F.col("id"), "n": F.lit(1)})
+    assert rows(got, "id", "s", "n") == rows(want)
+    overall = Window.orderBy("u", "ts", "id").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("id", F.last("z", ignorenulls=True).over(overall).alias("seen"))
+    assert rows(ranges.last_seen(parts, ["u", "ts", "id"], {"seen": F.col("z")}), "id", "seen") == rows(want)
+
+
+def test_median_over_ranges(spark, many_parts):
+    rng = random.Random(3)
+    data = [(rng.choice(["hot", "hot", "hot", "b", None]), None if rng.random() < 0.05 else rng.randrange(10**6)) for _ in range(3001)]
+    data += [("nulls", None), ("one", 5), ("two", 4), ("two", 7), *[("same", 9)] * 10]
+    df = frame(spark, "k string, v long", *data).repartition(4)
+    want = df.groupBy("k").agg(F.median("v").alias("m"))
+    assert rows(aggregates.median_over_ranges(df, ["k"], "v", "m")) == rows(want)
+    assert rows(aggregates.median_over_ranges(df.limit(0), ["k"], "v", "m")) == []
+
+
+def test_text_in_chunks(spark, many_parts):
+    df = frame(spark, "k string, v string", *[("a", f"{i:03}") for i in range(25)] * 2, ("a", None), ("b", "x"), (None, "y"))
+    got = aggregates.string_agg_chunks(df, ["k"], "v", "t", 10, ",")
+    texts = {(r.k, r.chunk): r.t for r in got.collect()}
+    assert set(texts) == {("a", 0), ("a", 1), ("a", 2), ("b", 0), (None, 0)}
+    assert ",".join(texts["a", i] for i in range(3)) == ",".join(f"{i:03}" for i in range(25))
+
+
+def test_change_count_equals_lag(spark, many_parts):
     df = _walk(spark).dropna()
     p = F.lag("z").over(Window.partitionBy("u").orderBy("ts", "id"))
     want = df.withColumn("c", F.when(p != F.col("z"), 1).otherwise(0)).groupBy("u").agg(F.sum("c").alias("n"))
-    for unit in ("hour", "day"):
-        assert rows(skew.count_changes(df, ["u"], ["ts", "id"], "z", "n", unit)) == rows(want)
+    assert rows(ranges.count_changes(df, ["u"], ["ts", "id"], "z", "n")) == rows(want)
     flags = windows.flag_change(df, ["u"], ["ts", "id"], "z")
     assert rows(flags.groupBy("u").agg(F.sum("is_change").alias("n"))) == rows(want)
 
