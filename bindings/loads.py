@@ -189,9 +189,9 @@ def dim_new_rows(t):
 
 @query("""
 SELECT c_custkey, c_name, coalesce(s.total, c_acctbal::DECIMAL(18,2))::DOUBLE AS c_acctbal FROM customer LEFT JOIN (
-  SELECT o_custkey, sum(o_totalprice::DECIMAL(18,2)) AS total FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) s ON o_custkey = c_custkey""")
+  SELECT o_custkey, sum(o_totalprice::DECIMAL(18,2)) AS total FROM orders GROUP BY 1) s ON o_custkey = c_custkey""")
 def update_from(t):
-    totals = t.orders.filter(F.col("o_orderstatus") == "P").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+    totals = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.sum(money(F.col("o_totalprice"))).cast("decimal(24,2)").alias("c_acctbal"))
     target = t.customer.select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(24,2)").alias("c_acctbal"))
     return merge.update_from(target, totals, ["c_custkey"], ["c_acctbal"])

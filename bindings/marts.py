@@ -263,7 +263,7 @@ def _groups(t):
         F.when(F.col("c_acctbal") < 0, "create").otherwise("add").alias("event"), load_dt.alias("event_dt"))
     links = conversion.activity_links(log, users, groups, None, load_dt)
     history = conversion.auth_history(log, links)
-    messages = t.orders.filter(F.col("o_orderstatus") == "P")
+    messages = t.orders
     user_messages = messages.select(hash_key(F.col("o_orderkey")).alias("hk_message_id"),
                                     hash_key(F.col("o_custkey")).alias("hk_user_id"))
     members = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey"))
@@ -276,7 +276,7 @@ _GROUPS = """
 oldest AS (SELECT n_nationkey FROM nation ORDER BY DATE '2000-01-01' + ((n_nationkey * 7) % 25)::INTEGER LIMIT 10),
 added AS (SELECT c_nationkey AS g, count(DISTINCT c_custkey) AS a FROM customer WHERE c_acctbal >= 0 GROUP BY 1),
 writing AS (SELECT c_nationkey AS g, count(DISTINCT o_custkey) AS w FROM orders JOIN customer ON o_custkey = c_custkey
-  WHERE o_orderstatus = 'P' GROUP BY 1)"""
+  GROUP BY 1)"""
 
 
 @query(f"""
