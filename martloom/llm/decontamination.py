@@ -19,7 +19,9 @@ LEAST_SHORT = 4  # an item of fewer words must stand in the document with its ma
 MARKS = list(".!?:\n\"([{\u201c\u201d\u201e\u00ab\u00bb")
 # Scripts written without spaces: Thai, Lao, Burmese, Khmer, Chinese, Japanese.  Each sign is a word.
 SIGNS = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
-TOKEN = r"[a-zA-Z[\p{L}\p{M}&&[^" + SIGNS + r"]]]+|[" + SIGNS + r"&&[\p{L}\p{M}]]|[0-9]+(?:[.,][0-9]+)*|[.!?:\n\"(\[{\u201c\u201d\u201e\u00ab\u00bb]+"
+OTHERS = r"[0-9]+(?:[.,][0-9]+)*|[.!?:\n\"(\[{\u201c\u201d\u201e\u00ab\u00bb]+"
+TOKEN = r"[\p{L}\p{M}]+|" + OTHERS
+TOKEN_OR_SIGN = r"[\p{L}\p{M}&&[^" + SIGNS + r"]]+|[\p{L}\p{M}&&[" + SIGNS + r"]]|" + OTHERS  # the slower one
 NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
     "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion").split()
@@ -32,9 +34,10 @@ UNITS = (
 NO_ID = -(1 << 63)
 
 
-def tokens(text: Column) -> Column:
-    """Words, numbers and sentence marks of a text; null has none."""
-    return F.regexp_extract_all(blank(text), F.lit(TOKEN), F.lit(0))
+def tokens(text: Column, signs: bool = True) -> Column:
+    """Words, numbers and sentence marks of a text; null has none.  Without `signs` runs of
+    letters of any script are words, which is faster."""
+    return F.regexp_extract_all(blank(text), F.lit(TOKEN_OR_SIGN if signs else TOKEN), F.lit(0))
 
 
 def _is_mark(token: Column) -> Column:
@@ -151,10 +154,12 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, leas
     all its words follow each other; one of fewer than four words only where its marks stand
     there as well, so that "12 * 13 = ?" is not any 12 before a 13.  An item without a word
     and template windows with fewer than four literal words find nothing.  In scripts
-    without spaces each sign counts as a word.
+    without spaces each sign counts as a word if any item has one.
     """
+    # Signs are told from words only if an item has any.
+    signs = not benchmark.filter(F.col("text").rlike(f"[{SIGNS}]")).isEmpty()
     items = benchmark.groupBy(blank(F.col("text")).alias("text")).agg(F.min("item_id").alias("item_id")).select(
-        F.xxhash64("text").alias("item"), "item_id", tokens(F.col("text")).alias("found"), F.trim(flat(F.col("text"))).alias("item_text")).select(
+        F.xxhash64("text").alias("item"), "item_id", tokens(F.col("text"), signs).alias("found"), F.trim(flat(F.col("text"))).alias("item_text")).select(
         "item", "item_id", "item_text", lowered(F.col("found")).alias("item_words"), canonical(F.col("found")).alias("item_template"))
     items = stored(items, "items")
     size = F.size("item_words")
@@ -168,7 +173,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, leas
     ).select("w.hash", "item", F.col("w.at").alias("item_at"), (F.col("w.at") + F.col("w.width") - 1).alias("item_end")), "item-windows")
     few = up_to(item_windows, BROADCAST_WINDOWS)
     keyed = _keyed(docs)
-    templates = keyed.select("id", "digest", tokens(F.col("text")).alias("found")).select(
+    templates = keyed.select("id", "digest", tokens(F.col("text"), signs).alias("found")).select(
         "id", "digest", canonical(F.col("found")).alias("template"), lowered(F.col("found")).alias("words"))
     windows = templates.select("id", "digest", F.explode(
         _windows(F.col("template"), F.col("words"), window, short)).alias("w")).select("id", "digest", "w.at", "w.hash")
@@ -177,7 +182,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, leas
         F.min("item_at").alias("first"), F.max("item_end").alias("last")), "lines")
     named = lines.join(items, "item")
     texts = keyed.join(lines.select("id", "digest").distinct(), ["id", "digest"], "left_semi").dropDuplicates(
-        ["id", "digest"]).select("id", "digest", tokens(F.col("text")).alias("found"), (
+        ["id", "digest"]).select("id", "digest", tokens(F.col("text"), signs).alias("found"), (
             flat(F.col("text")) if with_marks else F.lit("")).alias("flat")).select(
         "id", "digest", "flat", lowered(F.col("found")).alias("words"), canonical(F.col("found")).alias("template"))
     both = texts.join(named, ["id", "digest"]).withColumn("places", F.filter(
