@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import CITIES, chord_to_km, unit_vector, within_box
+from .cells import cell_at, descend, side_at, split_cells
 from .windows import top_n
 
 # A reference of up to this many points is written into the expression itself; much
 # longer ones would not fit into one compiled method.
 MAX_INLINE = 32
+TOP_SIDE = 0.25  # of the coarsest cubes, on the unit sphere
 # Larger than any squared distance on the unit sphere (at most 4).
 _OUTSIDE = 9.0
 REF_COLUMNS = ("zone_id", "lat", "lng", "timezone")
@@ -44,7 +46,8 @@ def nearest(
     box_deg only points less than that many degrees away in both directions count, and
     rows without any, so those with a NULL coordinate, are dropped.  An empty reference is
     no point at all.  A small reference needs no join and no shuffle; for a large one each
-    different place is looked up once through grid cells.  Both ways give the same rows.
+    different place is looked up once through grid cells, which are split until few points
+    share one, so that dense regions cost no more.  Both ways give the same rows.
     """
     rows = inline_reference(ref) if isinstance(ref, DataFrame) else list(ref)
     if rows:
@@ -97,68 +100,76 @@ def _nearest_inline(df: DataFrame, rows: Sequence[tuple], lat: str, lon: str, bo
     }).drop("_x", "_y", "_z", "_lat", "_lon", "_best")
 
 
-def _pick_closest(joined: DataFrame) -> DataFrame:
+def _pick_closest(found: DataFrame, leaves: DataFrame, counts: Column | None = None) -> DataFrame:
+    met = found.join(leaves, "_cell")
+    joined = (met if counts is None else met.filter(counts)).withColumn(
+        "_d2", _chord2(*[F.col(c) for c in ("_x", "_y", "_z", "_rx", "_ry", "_rz")]))
     best = top_n(joined, ["_lat", "_lon"], ["_d2", "zone_id", "_rlat", "_rlon", "timezone"], 1)
     return best.select("_lat", "_lon", "zone_id", "timezone", chord_to_km(F.col("_d2")).alias("distance_km"))
 
 
 def _reference_vectors(ref: DataFrame) -> DataFrame:
-    return _with_vector(
-        ref.select("zone_id", "timezone", F.col("lat").alias("_rlat"), F.col("lng").alias("_rlon")),
-        "_rlat", "_rlon", "_r",
-    )
+    """Different places of the reference; of points at one place the first by zone_id and timezone."""
+    places = ref.groupBy(F.col("lat").alias("_rlat"), F.col("lng").alias("_rlon")).agg(
+        F.min(F.struct("zone_id", "timezone")).alias("_first")).filter("_rlat is not null and _rlon is not null")
+    return _with_vector(places.select("_rlat", "_rlon", "_first.*"), "_rlat", "_rlon", "_r")
+
+
+def _centre(cell: Column, axis: int, side: Column) -> Column:
+    return (cell["at"][axis] + 0.5) * side
 
 
 def _nearest_in_box(places: DataFrame, ref: DataFrame, deg: float) -> DataFrame:
-    # Grid of box-sized cells; every reference point is listed in its own cell and
-    # the eight around it, so one equi-join finds all points inside the box.
-    steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    cells = (
-        _reference_vectors(ref)
-        .withColumn("_dy", F.explode(steps))
-        .withColumn("_dx", F.explode(steps))
-        .withColumn("_cy", F.floor(F.col("_rlat") / deg) + F.col("_dy"))
-        .withColumn("_cx", F.floor(F.col("_rlon") / deg) + F.col("_dx"))
-    )
-    points = _with_vector(places, "_lat", "_lon", "_").withColumns(
-        {"_cy": F.floor(F.col("_lat") / deg), "_cx": F.floor(F.col("_lon") / deg)}
+    # Cells in degrees.  A cell counts if it meets the box, and bounds the distance if it
+    # lies inside; on the sphere no point of it is farther from its centre than half
+    # the diagonal in degrees.
+    top = 2.0 ** math.ceil(math.log2(max(deg, 1e-6)))
+    points = _reference_vectors(ref)
+    tops = points.select(cell_at(["_rlat", "_rlon"], top, 0).alias("_cell")).distinct()
+    leaves, splits = split_cells(points, ["_rlat", "_rlon"], top)
+
+    def touched(axis: str) -> Column:
+        return F.explode(F.sequence(F.floor((F.col(axis) - deg) / top), F.floor((F.col(axis) + deg) / top)))
+
+    def reach(cell: Column) -> tuple[Column, Column]:
+        side = side_at(top, cell["level"])
+        lat, lon = _centre(cell, 0, side), _centre(cell, 1, side)
+        away = F.greatest(F.abs(lat - F.col("_lat")), F.abs(lon - F.col("_lon")))
+        chord = F.sqrt(_chord2(F.col("_x"), F.col("_y"), F.col("_z"), *unit_vector(lat, lon)))
+        half = F.radians(side) * (math.sqrt(2) / 2)
+        return (F.when(away <= deg + side / 2 + 1e-9, F.greatest(chord - half, F.lit(0.0))),
+                F.when(away + side / 2 < deg - 1e-9, chord + half))
+
+    found = (
+        _with_vector(places, "_lat", "_lon", "_").withColumn("_cy", touched("_lat")).withColumn("_cx", touched("_lon"))
+        .withColumn("_cell", F.struct(F.lit(0).alias("level"), F.array("_cy", "_cx").alias("at"))).drop("_cy", "_cx")
+        .join(tops, "_cell")
     )
-    joined = (
-        points.join(cells, ["_cy", "_cx"])
-        .filter(within_box(F.col("_lat"), F.col("_lon"), F.col("_rlat"), F.col("_rlon"), deg))
-        .withColumn("_d2", _chord2(*[F.col(c) for c in ("_x", "_y", "_z", "_rx", "_ry", "_rz")]))
-    )
-    return _pick_closest(joined)
-
+    inside = within_box(F.col("_lat"), F.col("_lon"), F.col("_rlat"), F.col("_rlon"), deg)
+    return _pick_closest(descend(found, splits, ["_lat", "_lon"], reach), leaves, inside)
 
-def _nearest_by_cells(places: DataFrame, ref: DataFrame, side: float = 0.1) -> DataFrame:
-    # The unit sphere meets fewer than 6 * (2 / side)^2 cubes of this side, whatever
-    # the size of the reference.  For each row the non-empty cubes that can hold
-    # the nearest point are those whose centre is at most one cube diagonal
-    # farther than the closest centre; only these are joined.
-    def cell(x: str, y: str, z: str) -> Column:
-        return F.struct(*[F.floor(F.col(c) / side).cast("int").alias(n) for c, n in ((x, "a"), (y, "b"), (z, "c"))])
 
-    points_ref = _reference_vectors(ref).withColumn("_cell", cell("_rx", "_ry", "_rz"))
-    cells = points_ref.agg(F.collect_set("_cell")).scalar()
-    diagonal = side * math.sqrt(3)
+def _nearest_by_cells(places: DataFrame, ref: DataFrame) -> DataFrame:
+    # Cubes in space.  The unit sphere meets fewer than 6 * (2 / side)^2 cubes of level 0,
+    # whatever the size of the reference, so every place looks at all that hold a point; below
+    # them only at the cubes that begin nearer than another one ends.
+    points = _reference_vectors(ref)
+    tops = points.select(cell_at(["_rx", "_ry", "_rz"], TOP_SIDE, 0).alias("_cell")).agg(F.collect_set("_cell")).scalar()
+    leaves, splits = split_cells(points, ["_rx", "_ry", "_rz"], TOP_SIDE)
 
-    def to_centre(c: Column) -> Column:
-        return F.sqrt(_chord2(
-            F.col("_x"), F.col("_y"), F.col("_z"),
-            (c["a"] + 0.5) * side, (c["b"] + 0.5) * side, (c["c"] + 0.5) * side,
-        ))
+    def reach(cell: Column) -> tuple[Column, Column]:
+        side = side_at(TOP_SIDE, cell["level"])
+        chord = F.sqrt(_chord2(F.col("_x"), F.col("_y"), F.col("_z"), *[_centre(cell, i, side) for i in range(3)]))
+        half = side * (math.sqrt(3) / 2)
+        return F.greatest(chord - half, F.lit(0.0)), chord + half
 
-    points = (
+    found = (
         _with_vector(places, "_lat", "_lon", "_")
-        .withColumn("_cells", cells)
-        .withColumn("_far", F.transform("_cells", lambda c: F.named_struct(F.lit("d"), to_centre(c), F.lit("cell"), c)))
-        .withColumn("_bound", F.array_min("_far")["d"] + diagonal)
-        .withColumn("_hit", F.explode(F.filter("_far", lambda e: e["d"] <= F.col("_bound"))))
-        .withColumn("_cell", F.col("_hit")["cell"])
-        .drop("_cells", "_far", "_bound", "_hit")
-    )
-    joined = points.join(points_ref, "_cell").withColumn(
-        "_d2", _chord2(*[F.col(c) for c in ("_x", "_y", "_z", "_rx", "_ry", "_rz")])
+        .withColumn("_all", tops)
+        .withColumn("_tops", F.transform("_all", lambda c: F.struct(reach(c)[1].alias("high"), reach(c)[0].alias("low"), c.alias("cell"))))
+        .withColumn("_bound", F.array_min("_tops")["high"])
+        .withColumn("_top", F.explode(F.filter("_tops", lambda t: t["low"] <= F.col("_bound") + 1e-9)))
+        .withColumn("_cell", F.col("_top")["cell"])
+        .drop("_all", "_tops", "_top", "_bound")
     )
-    return _pick_closest(joined)
+    return _pick_closest(descend(found, splits, ["_lat", "_lon"], reach), leaves)

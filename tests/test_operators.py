@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from martloom.functions.geo import CITIES, haversine
-from martloom.operators import aggregates, filters, joins, merge, nearest, pairs, progress, ranges, skew, vault, windows
+from martloom.operators import aggregates, cells, filters, joins, merge, nearest, pairs, progress, ranges, skew, vault, windows
 from tests.helpers import frame, plan, rows
 
 
@@ -284,6 +284,31 @@ def test_nearest_has_one_contract_for_every_reference_size(spark, box):
     assert {r[0] for r in answers[0] if r[1] is None} == ({2, 3} if box is None else set())
 
 
+@pytest.mark.parametrize("leaf_rows", [4, 256])
+@pytest.mark.parametrize("box", [None, 0.7, 8.0])
+def test_nearest_among_dense_points(spark, monkeypatch, box, leaf_rows):
+    monkeypatch.setattr(cells, "LEAF_ROWS", leaf_rows)
+    rng = random.Random(3)
+    towns = [(-33.8, 151.2, 1e-4), (10.0, 179.99, 0.3), (89.9, 0.0, 0.2), (0.0, 0.0, 5.0)]
+    at = [(lat + rng.gauss(0, s), lon + rng.gauss(0, s)) for lat, lon, s in towns for _ in range(80)]
+    spots = [(f"z{i:03}", *p, "UTC") for i, p in enumerate(at)] + [("a", *at[0], "UTC"), ("a", *at[0], "CET"), ("n", None, 1.0, "UTC")]
+    ref = spark.createDataFrame(spots, "zone_id string, lat double, lng double, timezone string")
+    points = [(lat + rng.gauss(0, 2 * s), lon + rng.gauss(0, 2 * s)) for lat, lon, s in towns for _ in range(30)]
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate([*points, at[0]])], "id int, lat double, lon double")
+    brute = _brute(points, ref.filter("zone_id not like 'z000'").select("zone_id", F.col("lat").alias("rlat"), F.col("lng").alias("rlng")), box)
+    got = nearest.nearest(points, ref, box_deg=box)
+    assert rows(got, "id", "zone_id") == rows(brute.filter("zone_id is not null"), "id", "zone_id")
+    assert got.filter("id = 120").select("zone_id", "timezone", "distance_km").collect() == [("a", "CET", 0.0)]
+
+
+def test_no_cell_holds_more_points_than_its_bound(spark):
+    rng = random.Random(4)
+    points = spark.createDataFrame([(rng.gauss(0, 10.0 ** -rng.randrange(7)), rng.gauss(0, 1e-5)) for _ in range(2000)], "x double, y double")
+    leaves, splits = cells.split_cells(points, ["x", "y"], 16.0, 8)
+    assert len(splits) > 3 and rows(leaves.select("x", "y")) == rows(points)
+    assert leaves.groupBy("_cell").count().filter("count > 8").isEmpty()
+
+
 @pytest.mark.parametrize("block", [3, 2000])
 def test_pairs_within_equal_brute_force(spark, block):
     rng = random.Random(9)
