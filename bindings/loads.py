@@ -246,6 +246,28 @@ def normalise_models(t):
     return dealership.normalise_sales(_raw_parts(t))["models"]
 
 
+@query("SELECT DISTINCT sha256(p_type) AS country_id, p_type AS country_name FROM part WHERE p_type <> 'PROMO'")
+def normalise_countries(t):
+    return dealership.normalise_sales(_raw_parts(t))["countries"]
+
+
+@query("""
+SELECT sha256(p_brand) AS brand_id, p_brand AS brand_name, sha256(min(nullif(p_type, 'PROMO'))) AS country_id
+FROM part GROUP BY p_brand""")
+def normalise_brands(t):
+    return dealership.normalise_sales(_raw_parts(t))["brands"]
+
+
+@query("SELECT DISTINCT sha256(lower(p_type)) AS color_id, lower(p_type) AS color_name FROM part")
+def normalise_colors(t):
+    return dealership.normalise_sales(_raw_parts(t))["colors"]
+
+
+@query("SELECT DISTINCT sha256(concat_ws('|', p_type, '+' || p_size)) AS customer_id, p_type AS name, '+' || p_size AS phone FROM part")
+def normalise_customers(t):
+    return dealership.normalise_sales(_raw_parts(t))["customers"]
+
+
 @query("SELECT p_brand AS brand_origin, max(cents)::DOUBLE / 100 AS price_max, min(cents)::DOUBLE / 100 AS price_min FROM ("
        "SELECT p_brand, (2 * round(l_extendedprice * 100)::HUGEINT * 100 + (100 - round(l_discount * 100)::HUGEINT)) "
        "// (2 * (100 - round(l_discount * 100)::HUGEINT)) AS cents FROM lineitem JOIN part ON l_partkey = p_partkey) GROUP BY 1")
