@@ -103,8 +103,9 @@ def _sample(labels: DataFrame, rows: int) -> DataFrame:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents of a bounded list of labels: the list is broadcast, the texts stay where they are."""
-    return docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id")
+    """Documents of a bounded list of labels, which is broadcast; of rows with one id the smallest text."""
+    return docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id").groupBy("doc_id").agg(
+        F.min("toxic").alias("toxic"), F.min("text").alias("text"))
 
 
 def fit(

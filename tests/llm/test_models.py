@@ -172,6 +172,13 @@ def test_toxicity_on_held_out_labels(spark):
     assert held.score.between(0, 1).all()
 
 
+def test_toxicity_learns_from_an_id_once_however_often_it_is_repeated(spark):
+    docs = spark.createDataFrame([(1, "b"), (2, None), (3, "c")] + [(1, "a")] * 50 + [(2, None)] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    got = toxicity._labelled(docs, labels).select("doc_id", "text", "toxic").collect()
+    assert sorted(map(tuple, got)) == [(1, "a", 1), (2, None, 0)]
+
+
 def test_toxicity_of_odd_documents(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame([(1, 1), (6, 0), (None, 1), (7, None), (8, 1)], "doc_id long, toxic int")

@@ -1,3 +1,5 @@
+import math
+
 import duckdb
 import pandas as pd
 import pytest
@@ -102,3 +104,38 @@ def test_what_repeats_inside_articles_goes(spark, monkeypatch, broadcast):
         (99, "http://h.net/", page.format("", "A"))], "page_id long, url string, html string")
     got = {r.page_id: r.text for r in site_style.extract(pages).collect()}
     assert got == {**{i: " ".join(f"{PROSE} number {i} ".split() * 2) for i in range(40)}, 99: "A Read the full story"}
+
+
+def _importance(pages: list[str | None], path: int) -> float:
+    """Of one branch of a host, from the pages themselves."""
+    parts = [{(value, is_text) for at, value, is_text in site_style.page_styles(page) if at == path} for page in pages]
+    parts = [part for part in parts if part]
+    kinds = [next(value for value, is_text in part if not is_text) for part in parts]
+    texts = {value for part in parts for value, is_text in part if is_text}
+    m = len(parts)
+    if m == 1:
+        return 1.0
+    styles = set(kinds)
+    shown = -sum(kinds.count(k) / m * math.log(kinds.count(k) / m, m) for k in styles)
+    said = 1 - sum(math.log(sum((t, True) in part for part in parts), m) for t in texts) / len(texts) if texts else 0.0
+    share = site_style.DECAY ** len(styles)
+    return (1 - share) * shown + share * said
+
+
+def test_style_tree_alone_removes_what_repeats_on_a_host(spark, monkeypatch):
+    for names in ("NOISE_TAGS", "NOISE_NAMES", "HEADER_NAMES"):
+        monkeypatch.setattr(site_style, names, frozenset())
+    menus = ["<ul><li>Home</li><li>News</li></ul>", "<ul><li>Home</li><li>Sport</li></ul>"]
+    htmls = [
+        f"<body><nav>{menus[i % 8 == 0]}</nav><div class=notice>We use cookies</div><div class=story><p>Story {i}</p>"
+        f"{'<blockquote>said</blockquote>' * (i % 3)}<p>Ends at {i * i}</p></div><footer>Since 1999</footer></body>" for i in range(48)]
+    rows = [(i, f"http://h.net/{i}", page) for i, page in enumerate(htmls)] + [(99, "http://rare.net/", htmls[0])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    paths = {path for page in htmls for path, _, _ in site_style.page_styles(page)}
+    low = {path for path in paths if _importance(htmls, path) < site_style.LEAST_IMPORTANCE}
+    got = site_style.low_branches(pages).collect()
+    assert low and {r["host"] for r in got} == {"h.net"} and {r["path"] for r in got} == low
+    texts = {r.page_id: r.text for r in site_style.extract(pages).collect()}
+    assert all("cookies" not in t and "1999" not in t and "Home" not in t for i, t in texts.items() if i < 99)
+    assert all(f"Story {i}" in texts[i] and f"Ends at {i * i}" in texts[i] for i in range(48))
+    assert "cookies" in texts[99]  # one page of a host tells nothing
