@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpointed
 
-LEAF_ROWS = 256
+LEAF_ROWS = 32
 FACTOR = 4  # the sides of a cell are so many times those of the cells in it
 DEEPEST = 16  # levels; the smallest cells of the unit sphere are far below a millimetre
 
