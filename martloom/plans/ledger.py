@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.documents import json_get
@@ -49,7 +49,13 @@ def ledger(deliveries: DataFrame, couriers: DataFrame, product_sales: DataFrame,
     per_order_floor is set.
     """
     totals = product_sales.groupBy("order_id").agg(sum_money(F.col("total_sum")).alias("_total"))
-    rows = deliveries.join(totals, "order_id", "left").withColumn("_total", F.coalesce("_total", dec("0.00")))
+    # Distinct orders are counted by the first row of each, marked in the order that the join
+    # sorts by anyway: a distinct aggregate would keep every order of a task in hash maps.
+    keyed = deliveries.withColumns({"settlement_year": F.year("order_ts"), "settlement_month": F.month("order_ts")})
+    same_order = Window.partitionBy("order_id", *LEDGER_KEY).orderBy("order_id")
+    marked = keyed.repartition("order_id").withColumn(
+        "_first", F.when(F.col("order_id").isNotNull() & (F.row_number().over(same_order) == 1), 1))
+    rows = marked.join(totals, "order_id", "left").withColumn("_total", F.coalesce("_total", dec("0.00")))
     total = F.col("_total").cast("decimal(18,2)")
 
     def floored(share: str, floor: str) -> Column:
@@ -57,13 +63,9 @@ def ledger(deliveries: DataFrame, couriers: DataFrame, product_sales: DataFrame,
 
     tiers = [(share, floor) for _, share, floor in PAYOUT_TIERS] + [PAYOUT_TOP]
     monthly = (
-        rows.groupBy(
-            "courier_id",
-            F.year("order_ts").alias("settlement_year"),
-            F.month("order_ts").alias("settlement_month"),
-        )
+        rows.groupBy(*LEDGER_KEY)
         .agg(
-            F.count_distinct("order_id").alias("orders_count"),
+            F.count("_first").alias("orders_count"),
             sum_money(F.col("_total")).alias("orders_total_sum"),
             mean_of(F.sum("rate"), F.count("rate")).cast("decimal(3,2)").alias("rate_avg"),
             sum_money(F.col("tip_sum")).alias("courier_tips_sum"),

@@ -1,34 +1,41 @@
 """Monthly reports refreshed from a stored fact table at the cost of the increment.
 
-The fact table is laid out by a hash of the report's owner, and inside by load day.  The
-load days after the watermark name the owners that have new lines, without a look at older
-files; their history is read from their parts only; and their rows replace those of the
-stored report, again by parts.
+The fact table is laid out by a hash of the report's owner, and inside by the year of the
+load, its rows in the order of their load times.  The years from the watermark on, and in
+them only the row groups after it, name the owners that have new lines; their history is read
+from their parts only; and their rows replace those of the stored report, again by parts.
+A folder for each load day would make as many small files as there are days times parts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import changed_since
 from ..session import checkpointed
 from ..sinks.parted import PART, by_hash, parts_of, read_parts, write_parted
+from ..sinks.tables import write_table
 
-DAY = "load_day"
+DAYS = "load_days_from"  # the first day of the year that a folder holds
 Report = Callable[[DataFrame, DataFrame, DataFrame, DataFrame, str], DataFrame]
 
 
+def _days_from(at: Column) -> Column:
+    return F.to_date(F.trunc(at, "year"))
+
+
 def store_facts(fact: DataFrame, path: str, owner_id: str, parts: int) -> None:
-    write_parted(fact.withColumn(DAY, F.to_date("load_dttm")), path, by_hash([owner_id], parts), more=[DAY])
+    fact = fact.withColumn(DAYS, _days_from(F.col("load_dttm")))
+    write_parted(fact, path, by_hash([owner_id], parts), sort_by=[DAYS, "load_dttm"], more=[DAYS])
 
 
 def append_facts(fact: DataFrame, path: str, owner_id: str, parts: int) -> None:
-    """New lines as further files of their load day."""
-    fact.withColumn(DAY, F.to_date("load_dttm")).withColumn(PART, by_hash([owner_id], parts)).write.mode("append").partitionBy(
-        PART, DAY).parquet(path)
+    """New lines as further files of their year."""
+    fact = fact.withColumn(DAYS, _days_from(F.col("load_dttm"))).withColumn(PART, by_hash([owner_id], parts))
+    write_table(fact, path, "append", [PART, DAYS], ["load_dttm"])
 
 
 def store_report(report: DataFrame, path: str, owner_id: str, parts: int) -> None:
@@ -36,9 +43,9 @@ def store_report(report: DataFrame, path: str, owner_id: str, parts: int) -> Non
 
 
 def new_lines(spark: SparkSession, path: str, watermark) -> DataFrame:
-    """Lines loaded after the watermark: only folders from its day on are read."""
+    """Lines loaded after the watermark: only folders from its year on are read."""
     at = F.lit(watermark).cast("timestamp_ntz")
-    return spark.read.parquet(path).filter((F.col(DAY) >= F.to_date(at)) & (F.col("load_dttm") > at))
+    return spark.read.parquet(path).filter((F.col(DAYS) >= _days_from(at)) & (F.col("load_dttm") > at))
 
 
 def owners_of_changes(spark: SparkSession, facts: str, dims: dict[str, DataFrame], owner_id: str, watermark) -> DataFrame:
@@ -63,7 +70,7 @@ def refresh_stored(spark: SparkSession, facts: str, mart: str, report: Report, c
     touched = parts_of(owners)
     if not touched:
         return []
-    history = read_parts(spark, facts, touched).join(owners, [owner_id, PART], "left_semi").drop(PART, DAY)
+    history = read_parts(spark, facts, touched).join(owners, [owner_id, PART], "left_semi").drop(PART, DAYS)
     fresh = report(history, customers, craftsmen, products, as_of).withColumn(PART, by_hash([owner_id], parts))
     kept = read_parts(spark, mart, touched).join(owners, [owner_id, PART], "left_anti")
     checkpointed(kept.unionByName(fresh)).hint("rebalance", PART).write.mode("overwrite").option(

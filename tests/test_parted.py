@@ -63,3 +63,16 @@ def test_new_lines_name_their_owners_without_old_files(spark, tmp_path):
     assert rows(found) == [(2,)]
     dims["product_id"] = frame(spark, "product_id long, load_dttm timestamp_ntz", (1, dt.datetime(2024, 1, 8)), (2, at))
     assert rows(report_store.owners_of_changes(spark, facts, dims, "customer_id", "2024-01-05")) == [(1,), (2,), (3,)]
+
+
+def test_a_stored_fact_table_has_few_files_however_many_load_days(spark, tmp_path):
+    facts = f"{tmp_path}/facts"
+    lines = spark.range(4_000).selectExpr(
+        "id AS order_id", "id % 50 AS customer_id", "timestamp_ntz '2022-01-01 12:00:00' + make_interval(0, 0, 0, cast(id % 700 AS int)) AS load_dttm")
+    old = F.col("load_dttm") < F.lit("2023-11-01").cast("timestamp_ntz")
+    report_store.store_facts(lines.filter(old), facts, "customer_id", 4)
+    report_store.append_facts(lines.filter(~old).repartition(8), facts, "customer_id", 4)
+    assert len(_files(facts)) <= 4 * 3  # two years at first, one that goes on
+    assert {r.order_id for r in spark.read.parquet(facts).collect()} == set(range(4_000))
+    fresh = report_store.new_lines(spark, facts, "2023-11-30 12:00:00")
+    assert {r.order_id for r in fresh.collect()} == {i for i in range(4_000) if i % 700 == 699}
