@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.nearest import city_rows
 from martloom.plans import conversion, currency, dealership, geography, inventory, ledger, reports, restaurants, sales, star
-from tests.helpers import frame, rows
+from tests.helpers import frame, plan, rows
 
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 6, 1)
 FACT = ("order_id int, product_id int, craftsman_id int, customer_id int, order_created_date date, "
@@ -135,6 +135,20 @@ def test_ledger(spark):
     assert rows(ledger.upsert_ledger(fresh, fresh)) == rows(fresh)
 
 
+def test_ledger_counts_orders_without_maps_of_them(spark):
+    """Repeated orders count once per courier and month, null ones never; no distinct aggregate."""
+    at = lambda month: dt.datetime(2024, month, 5)
+    deliveries = frame(spark, "delivery_id int, order_id string, courier_id int, order_ts timestamp_ntz, rate int, tip_sum int",
+                       (1, "1", 1, at(1), 5, 10), (1, "1", 1, at(1), 5, 10), (2, "1", 1, at(2), 4, 1), (3, "1", 2, at(1), 4, 1),
+                       (4, None, 1, at(1), 4, 10), (5, None, 1, at(1), 4, 10), (6, "2", 1, at(1), 3, None), (7, None, 2, at(3), 3, 1))
+    couriers = frame(spark, "courier_id int, courier_name string", (1, "Al"), (2, "Bo"))
+    totals = frame(spark, "order_id string, total_sum int", ("1", 1000), ("2", 100))
+    got = ledger.ledger(deliveries, couriers, totals, per_order_floor=True)
+    want = [(1, 1, 2, D("2100.00")), (1, 2, 1, D("1000.00")), (2, 1, 1, D("1000.00")), (2, 3, 0, D("0.00"))]
+    assert rows(got, "courier_id", "settlement_month", "orders_count", "orders_total_sum") == want
+    assert "distinct" not in plan(got)
+
+
 def test_staged_objects_keep_the_first_version(spark):
     schema = "object_id string, object_value string, load_dttm timestamp_ntz"
     first = frame(spark, schema, ("1", '{"_id": "1", "name": "Al"}', T0))
