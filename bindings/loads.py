@@ -130,13 +130,12 @@ def link_load(t):
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_shipdate")
     split = _at("1999-01-01")
 
-    def links(part):
+    def links(part, target=None):
         return vault.link(part, "hk_order_product_pk", {"h_order_pk": "l_orderkey", "h_product_pk": "l_partkey"},
-                          _at("2024-01-01"), "orders")
+                          _at("2024-01-01"), "orders", target)
 
     stored = links(rows.filter(F.col("l_shipdate") < split))
-    return merge.insert_ignore(stored, links(rows.filter(F.col("l_shipdate") >= split)), ["hk_order_product_pk"],
-                               unique=True)
+    return stored.unionByName(links(rows.filter(F.col("l_shipdate") >= split), stored))
 
 
 _SAT = """
