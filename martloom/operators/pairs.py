@@ -16,6 +16,7 @@ import math
 
 from ..functions.geo import EARTH_KM, haversine, unit_vector
 from ..session import checkpointed
+from .windows import top_n
 
 BLOCK = 2_000
 
@@ -53,11 +54,17 @@ def co_members(df: DataFrame, groups: Sequence[str], member: str, left: str = "l
     """Distinct pairs left < right that share a group.  A group of more than `block`
     members meets itself in blocks, so no task holds all its pairs."""
     base = df.select(*groups, F.col(member).alias("_m")).distinct()
-    return (
+    pairs = (
         _join_cells(base, base, groups, "_m", block).filter(F.col("l._m") < F.col("r._m"))
         .select(F.col("l._m").alias(left), F.col("r._m").alias(right))
-        .distinct()
     )
+    return once(pairs, left, right)
+
+
+def once(pairs: DataFrame, left: str, right: str) -> DataFrame:
+    """One row per pair.  Few pairs of one task are equal, so they are dealt out first and
+    found side by side in sorted order: no task keeps pairs in hash maps."""
+    return top_n(pairs.repartition(left, right), [left, right], [left], 1)
 
 
 def pairs_within(df: DataFrame, groups: Sequence[str], member: str, lat: str, lon: str, km: float,
