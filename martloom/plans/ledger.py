@@ -9,6 +9,7 @@ from ..functions.documents import json_get
 from ..functions.money import PAYOUT_TIERS, PAYOUT_TOP, PROCESSING_FEE, TIPS_SHARE, dec, mean_of, sum_money, tiered
 from ..operators.aggregates import dedup_first
 from ..operators.merge import keyed_merge, new_rows
+from ..session import shuffle_partitions
 
 LEDGER_KEY = ["courier_id", "settlement_year", "settlement_month"]
 
@@ -53,7 +54,9 @@ def ledger(deliveries: DataFrame, couriers: DataFrame, product_sales: DataFrame,
     # sorts by anyway: a distinct aggregate would keep every order of a task in hash maps.
     keyed = deliveries.withColumns({"settlement_year": F.year("order_ts"), "settlement_month": F.month("order_ts")})
     same_order = Window.partitionBy("order_id", *LEDGER_KEY).orderBy("order_id")
-    marked = keyed.repartition("order_id").withColumn(
+    # A number of partitions keeps Spark from merging them: each task sorts its part of the
+    # lines and holds a wide row of sums for nearly every line in it.
+    marked = keyed.repartition(shuffle_partitions(deliveries.sparkSession), "order_id").withColumn(
         "_first", F.when(F.col("order_id").isNotNull() & (F.row_number().over(same_order) == 1), 1))
     rows = marked.join(totals, "order_id", "left").withColumn("_total", F.coalesce("_total", dec("0.00")))
     total = F.col("_total").cast("decimal(18,2)")

@@ -1,6 +1,7 @@
 """Marts on literal frames: the rules that a reader of the reports relies on."""
 
 import datetime as dt
+import re
 from decimal import Decimal as D
 
 import pytest
@@ -149,6 +150,24 @@ def test_ledger_counts_orders_without_maps_of_them(spark):
     assert "distinct" not in plan(got)
 
 
+def test_ledger_lines_stay_in_the_partitions_of_the_session(spark):
+    """Merged partitions would give one task the lines of many; the rows do not depend on their number."""
+    deliveries = frame(spark, "order_id string, courier_id int, order_ts timestamp_ntz, rate int, tip_sum int",
+                       *[(None if i % 7 == 0 else str(i % 40), i % 3, dt.datetime(2024, 1 + i % 2, 5), i % 5 + 1, i) for i in range(120)])
+    couriers = frame(spark, "courier_id int, courier_name string", (0, "Al"), (1, "Bo"), (2, "Cy"))
+    totals = frame(spark, "order_id string, total_sum int", *[(str(i), 100 * i) for i in range(30)])
+    default, answers = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for n in ("3", "11"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            got = ledger.ledger(deliveries, couriers, totals, per_order_floor=True)
+            assert re.search(rf"hashpartitioning\(order_id#\d+, {n}\), REPARTITION_BY_NUM", plan(got))
+            answers.append(rows(got))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", default)
+    assert answers[0] == answers[1] and len(answers[0]) == 6
+
+
 def test_staged_objects_keep_the_first_version(spark):
     schema = "object_id string, object_value string, load_dttm timestamp_ntz"
     first = frame(spark, schema, ("1", '{"_id": "1", "name": "Al"}', T0))
