@@ -36,7 +36,7 @@ def split_cells(points: DataFrame, axes: Sequence[str], side: float, leaf_rows:
     """
     leaf_rows = LEAF_ROWS if leaf_rows is None else leaf_rows
     leaves, splits = [], []
-    left = points.withColumn("_cell", cell_at(axes, side, 0))
+    left = checkpointed(points.withColumn("_cell", cell_at(axes, side, 0)))
     for level in range(DEEPEST):
         dense = checkpointed(
             left.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > leaf_rows).select("_cell"))
@@ -47,26 +47,37 @@ def split_cells(points: DataFrame, axes: Sequence[str], side: float, leaf_rows:
             {"_parent": F.col("_cell"), "_cell": cell_at(axes, side, level + 1)}))
         splits.append(inner.select("_parent", F.col("_cell").alias("_child")).distinct())
         left = inner.drop("_parent")
-    return reduce(DataFrame.unionByName, [*leaves, left]), splits
+    return checkpointed(reduce(DataFrame.unionByName, [*leaves, left])), splits
+
+
+def own_cells(axes: Sequence[str], side: float, splits: Sequence[DataFrame]) -> Column:
+    """The cells of all levels that a place lies in; at most one of them is a leaf."""
+    return F.explode(F.array(*[cell_at(axes, side, level) for level in range(len(splits) + 1)]))
+
+
+def not_beyond(distance: Column) -> Column:
+    """Whether a distance is within `_bound`, but for rounding."""
+    return distance <= F.col("_bound") * (1 + 1e-9) + 1e-9
 
 
 def descend(found: DataFrame, splits: Sequence[DataFrame], place: Sequence[str],
             reach: Callable[[Column], tuple[Column, Column]]) -> DataFrame:
     """From the coarse cells `_cell` beside each place to the leaves that can hold its nearest point.
 
-    `reach` gives the least and the greatest distance between the place and the points of a
+    `_bound` is a distance within which the place is known to have a point that counts, infinite if
+    none is known.  `reach` gives the least and the greatest distance between the place and the points of a
     cell; the least is NULL for cells that cannot count, the greatest for those that may
     hold no point that counts.  At each level dense cells are replaced by the cells in them, and those that
-    begin farther away than another one ends are left out.
+    begin beyond the bound or farther away than another one ends are left out; the former before
+    the cells of a place are brought together.
     """
     same_place = Window.partitionBy(*place)
 
     def nearest_only(cells: DataFrame) -> DataFrame:
         low, high = reach(F.col("_cell"))
-        bound = F.coalesce(F.min("_high").over(same_place), F.lit(float("inf")))
-        return (cells.withColumns({"_low": low, "_high": high}).filter(F.col("_low").isNotNull())
-                .withColumn("_bound", bound).filter(F.col("_low") <= F.col("_bound") * (1 + 1e-9) + 1e-9)
-                .drop("_low", "_high", "_bound"))
+        near = cells.withColumns({"_low": low, "_high": high}).filter(F.col("_low").isNotNull() & not_beyond(F.col("_low")))
+        bound = F.least("_bound", F.min("_high").over(same_place))
+        return near.withColumn("_bound", bound).filter(not_beyond(F.col("_low"))).drop("_low", "_high")
 
     found = nearest_only(found)
     for split in splits:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import CITIES, chord_to_km, unit_vector, within_box
-from .cells import cell_at, descend, side_at, split_cells
+from .cells import cell_at, descend, not_beyond, own_cells, side_at, split_cells
 from .windows import top_n
 
 # A reference of up to this many points is written into the expression itself; much
@@ -100,11 +100,23 @@ def _nearest_inline(df: DataFrame, rows: Sequence[tuple], lat: str, lon: str, bo
     }).drop("_x", "_y", "_z", "_lat", "_lon", "_best")
 
 
+def _met_points(found: DataFrame, leaves: DataFrame, counts: Column | None, how: str = "inner") -> DataFrame:
+    """The places with the points that count in their cells, and the squared distances `_d2`."""
+    d2 = _chord2(*[F.col(c) for c in ("_x", "_y", "_z", "_rx", "_ry", "_rz")])
+    return found.join(leaves, "_cell", how).withColumn("_d2", d2 if counts is None else F.when(counts, d2))
+
+
+def _with_bound(places: DataFrame, own: Column, leaves: DataFrame, counts: Column | None = None) -> DataFrame:
+    """Adds the vector of each place and `_bound`, the distance to the nearest point that counts in
+    the leaf it lies in.  It is close to the final distance, so few other cells are looked at."""
+    met = _met_points(_with_vector(places, "_lat", "_lon", "_").withColumn("_cell", own), leaves, counts, "left")
+    bound = F.coalesce(F.sqrt(F.min("_d2")), F.lit(float("inf")))
+    return _with_vector(met.groupBy("_lat", "_lon").agg(bound.alias("_bound")), "_lat", "_lon", "_")
+
+
 def _pick_closest(found: DataFrame, leaves: DataFrame, counts: Column | None = None) -> DataFrame:
-    met = found.join(leaves, "_cell")
-    joined = (met if counts is None else met.filter(counts)).withColumn(
-        "_d2", _chord2(*[F.col(c) for c in ("_x", "_y", "_z", "_rx", "_ry", "_rz")]))
-    best = top_n(joined, ["_lat", "_lon"], ["_d2", "zone_id", "_rlat", "_rlon", "timezone"], 1)
+    near = _met_points(found, leaves, counts).filter(F.col("_d2").isNotNull() & not_beyond(F.sqrt("_d2")))
+    best = top_n(near, ["_lat", "_lon"], ["_d2", "zone_id", "_rlat", "_rlon", "timezone"], 1)
     return best.select("_lat", "_lon", "zone_id", "timezone", chord_to_km(F.col("_d2")).alias("distance_km"))
 
 
@@ -140,12 +152,13 @@ def _nearest_in_box(places: DataFrame, ref: DataFrame, deg: float) -> DataFrame:
         return (F.when(away <= deg + side / 2 + 1e-9, F.greatest(chord - half, F.lit(0.0))),
                 F.when(away + side / 2 < deg - 1e-9, chord + half))
 
+    inside = within_box(F.col("_lat"), F.col("_lon"), F.col("_rlat"), F.col("_rlon"), deg)
+    bounded = _with_bound(places, own_cells(["_lat", "_lon"], top, splits), leaves, inside)
     found = (
-        _with_vector(places, "_lat", "_lon", "_").withColumn("_cy", touched("_lat")).withColumn("_cx", touched("_lon"))
+        bounded.withColumn("_cy", touched("_lat")).withColumn("_cx", touched("_lon"))
         .withColumn("_cell", F.struct(F.lit(0).alias("level"), F.array("_cy", "_cx").alias("at"))).drop("_cy", "_cx")
         .join(tops, "_cell")
     )
-    inside = within_box(F.col("_lat"), F.col("_lon"), F.col("_rlat"), F.col("_rlon"), deg)
     return _pick_closest(descend(found, splits, ["_lat", "_lon"], reach), leaves, inside)
 
 
@@ -159,17 +172,18 @@ def _nearest_by_cells(places: DataFrame, ref: DataFrame) -> DataFrame:
 
     def reach(cell: Column) -> tuple[Column, Column]:
         side = side_at(TOP_SIDE, cell["level"])
-        chord = F.sqrt(_chord2(F.col("_x"), F.col("_y"), F.col("_z"), *[_centre(cell, i, side) for i in range(3)]))
-        half = side * (math.sqrt(3) / 2)
-        return F.greatest(chord - half, F.lit(0.0)), chord + half
+        centre = [_centre(cell, i, side) for i in range(3)]
+        outside = [F.greatest(F.abs(F.col(c) - m) - side / 2, F.lit(0.0)) for c, m in zip(("_x", "_y", "_z"), centre)]
+        chord = F.sqrt(_chord2(F.col("_x"), F.col("_y"), F.col("_z"), *centre))
+        return F.sqrt(_chord2(*outside, 0.0, 0.0, 0.0)), chord + side * (math.sqrt(3) / 2)
 
     found = (
-        _with_vector(places, "_lat", "_lon", "_")
+        _with_bound(places, own_cells(["_x", "_y", "_z"], TOP_SIDE, splits), leaves)
         .withColumn("_all", tops)
         .withColumn("_tops", F.transform("_all", lambda c: F.struct(reach(c)[1].alias("high"), reach(c)[0].alias("low"), c.alias("cell"))))
-        .withColumn("_bound", F.array_min("_tops")["high"])
-        .withColumn("_top", F.explode(F.filter("_tops", lambda t: t["low"] <= F.col("_bound") + 1e-9)))
+        .withColumn("_bound", F.least("_bound", F.array_min("_tops")["high"]))
+        .withColumn("_top", F.explode(F.filter("_tops", lambda t: not_beyond(t["low"]))))
         .withColumn("_cell", F.col("_top")["cell"])
-        .drop("_all", "_tops", "_top", "_bound")
+        .drop("_all", "_tops", "_top")
     )
     return _pick_closest(descend(found, splits, ["_lat", "_lon"], reach), leaves)

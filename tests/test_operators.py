@@ -301,6 +301,25 @@ def test_nearest_among_dense_points(spark, monkeypatch, box, leaf_rows):
     assert got.filter("id = 120").select("zone_id", "timezone", "distance_km").collect() == [("a", "CET", 0.0)]
 
 
+@pytest.mark.parametrize("box", [None, 5.0])
+def test_nearest_looks_at_few_cells_of_a_dense_reference(spark, monkeypatch, box):
+    monkeypatch.setattr(cells, "LEAF_ROWS", 8)
+    rng, reached, descend = random.Random(6), [], nearest.descend
+
+    def kept(*args):
+        reached.append(descend(*args))
+        return reached[-1]
+
+    monkeypatch.setattr(nearest, "descend", kept)
+    at = [(rng.uniform(-20, -10), rng.uniform(120, 130)) for _ in range(1200)]
+    ref = spark.createDataFrame([(f"z{i:04}", *p, "UTC") for i, p in enumerate(at)], "zone_id string, lat double, lng double, timezone string")
+    points = spark.createDataFrame([(i, rng.uniform(-20, -10), rng.uniform(120, 130)) for i in range(300)], "id int, lat double, lon double")
+    got = nearest.nearest(points, ref, box_deg=box)
+    brute = _brute(points, ref.select("zone_id", F.col("lat").alias("rlat"), F.col("lng").alias("rlng")), box)
+    assert rows(got, "id", "zone_id") == rows(brute, "id", "zone_id")
+    assert reached[0].count() < 6 * 300  # without a bound from the own cell 10 to 12 for each place
+
+
 def test_no_cell_holds_more_points_than_its_bound(spark):
     rng = random.Random(4)
     points = spark.createDataFrame([(rng.gauss(0, 10.0 ** -rng.randrange(7)), rng.gauss(0, 1e-5)) for _ in range(2000)], "x double, y double")
