@@ -9,7 +9,7 @@ from ..functions.dates import local_time
 from ..functions.keys import ordered_pair
 from ..operators.filters import require
 from ..operators.nearest import nearest
-from ..operators.pairs import limit_groups, once, pairs_within
+from ..operators.pairs import limit_groups, unknown_pairs_within
 from ..operators.ranges import count_changes
 from ..operators.windows import home_state, latest
 
@@ -114,9 +114,7 @@ def friend_recommendations(subscriptions: DataFrame, places: DataFrame, interact
     last = latest(require(places, "user_id", "lat", "lon"), ["user_id"], ["event_time", "event_id"])
     located = nearest(last.select("user_id", "lat", "lon"), ref, box_deg=CITY_BOX_DEG)
     rows = members.join(located.select("user_id", "lat", "lon", "zone_id"), "user_id")
-    pairs = pairs_within(rows, ["channel_id", "zone_id"], "user_id", "lat", "lon", km)
-    # A user has one zone.  Equal pairs of several channels and the interactions meet in one shuffle.
-    pairs = once(pairs.select("user_left", "user_right", "zone_id"), "user_left", "user_right")
     left, right = ordered_pair(F.col("a"), F.col("b"))
     wrote = require(interactions, "a", "b").select(left.alias("user_left"), right.alias("user_right")).distinct()
-    return pairs.join(wrote, ["user_left", "user_right"], "left_anti").withColumn("processed_dttm", processed)
+    pairs = unknown_pairs_within(rows, "channel_id", "zone_id", "user_id", "lat", "lon", km, wrote)
+    return pairs.withColumn("processed_dttm", processed)
