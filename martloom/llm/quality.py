@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -167,8 +168,10 @@ def _best_of_all(pool: DataFrame) -> Callable[[list[View], dict[int, int]], Pick
         rows = top_n(pool.mapInPandas(score, "view int, label int, sure double, row_id long, text binary, meta binary"),
                      ["view", "label"], [F.col("sure").desc(), F.col("row_id")], max(counts.values())).collect()
         out: Picks = []
+        seen: Counter[tuple[int, int]] = Counter()
         for r in sorted(rows, key=lambda r: (r["view"], r["label"], -r["sure"], r["row_id"])):
-            if r["row_id"] not in taken and sum((v, y) == (r["view"], r["label"]) for v, y, *_ in out) < counts[r["label"]]:
+            seen[r["view"], r["label"]] += 1  # one that the other view took counts too: no less sure row takes its place
+            if r["row_id"] not in taken and seen[r["view"], r["label"]] <= counts[r["label"]]:
                 taken.add(r["row_id"])
                 out.append((r["view"], r["label"], np.frombuffer(r["text"], np.float32), np.frombuffer(r["meta"], np.float32)))
         return out
